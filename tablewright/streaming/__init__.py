@@ -1,0 +1 @@
+"""Every job in this library is a batch job, so no streaming operator is provided."""
