@@ -109,7 +109,7 @@ def fit_and_score(
         "regression": lambda s: _long(metrics.regression_metrics(s)),
     }[kind]
     rows: list[tuple[str, int, str, float]] = []
-    with kept(df.select(*keys, "label", "features")) as prepared:
+    with kept(df.select(*keys, "label", "features"), spread_by=keys) as prepared:
         train, test = train_test(prepared, keys, train_weight, seed)
         model = estimator.fit(train.select("label", "features"))
         for name, part in (("train", train), ("test", test)):

@@ -85,9 +85,27 @@ def ranked(
     name: str = "rank",
 ) -> DataFrame:
     """Add the 1-based position of each row; ``order_by`` must decide every tie."""
+    if not partition_by:
+        return _numbered(df, order_by, name)
     return running_totals(df, order_by, {name: F.lit(1).cast("bigint")}, partition_by)
 
 
+def _numbered(df: DataFrame, order_by: Sequence[str | Column], name: str) -> DataFrame:
+    """Positions over the whole table: rows before the block, plus the place inside it.
+
+    Only the block sizes are added up; no row is shuffled again.
+    """
+    blocks = sorted_blocks(df, order_by)
+    sizes = blocks.groupBy(BLOCK).agg(F.count("*").alias("__size"))
+    before = Window.orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(
+        F.col(BLOCK), F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__start")
+    )
+    inside = F.col(ROW) - F.shiftleft(F.col(BLOCK), PARTITION_SHIFT)
+    placed = blocks.join(starts, BLOCK)
+    return placed.select(*df.columns, (F.col("__start") + inside + 1).alias(name))
+
+
 def dense_ids(df: DataFrame, key: str, name: str = "id") -> DataFrame:
     """(key, id): consecutive integers from 0 for the distinct keys, in key order."""
     keys = df.select(key).where(F.col(key).isNotNull()).distinct()

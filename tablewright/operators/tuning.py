@@ -82,7 +82,7 @@ def cross_validate(
     Features are assembled before the search, so the folds share one stored table of
     label, vector and fold number instead of repeating the preparation per fit.
     """
-    folded = assign_folds(df, keys, folds, seed).select("label", "features", "fold")
+    folded = assign_folds(df, keys, folds, seed).select(*keys, "label", "features", "fold")
     search = CrossValidator(
         estimator=estimator,
         evaluator=evaluator,
@@ -92,7 +92,7 @@ def cross_validate(
         seed=seed,
         parallelism=parallelism,
     )
-    with kept(folded) as stored:
+    with kept(folded, spread_by=keys) as stored:
         return search.fit(stored)
 
 

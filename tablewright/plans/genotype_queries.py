@@ -10,16 +10,26 @@ from tablewright.plans.oracle_views import over
 from tablewright.plans.registry import query
 from tablewright.plans.source_queries import POPULATIONS, panel
 from tablewright.sources.genotype_text import panel_samples
+from tablewright.workspace import materialize
 
 # The range of carrier counts a variant must have.
 LOW, HIGH = 9, 11
 
+# The wider range the clustering keeps, up to one carrier per nation.
+CLUSTER_LOW, CLUSTER_HIGH = 0, 25
+
 # The variants that become matrix columns.
 VARIANTS = [f"chr1:Brand#{i}" for i in range(1, 26)]
 
 # Fixed value: the longest list one row of a collected group holds.
 CHUNK_ITEMS = 50_000
 
+
+def stored_calls(spark: SparkSession, d: str) -> DataFrame:
+    """The calls written once, for the queries that pass over them several times."""
+    return materialize(views.genotype(spark, d), "calls")
+
+
 _IN = ", ".join(f"'{p}'" for p in POPULATIONS)
 _FREQ = """, total AS (SELECT count(DISTINCT sample) AS n FROM genotype),
              freq AS (SELECT variant, count(DISTINCT sample) AS n_samples,
@@ -69,7 +79,7 @@ def variant_frequency(spark: SparkSession, d: str) -> DataFrame:
     over("genotype", _FREQ + " SELECT variant FROM freq WHERE n_samples = (SELECT n FROM total)"),
 )
 def having_complete_groups(spark: SparkSession, d: str) -> DataFrame:
-    return genotypes.complete_variants(views.genotype(spark, d)).select("variant")
+    return genotypes.complete_variants(stored_calls(spark, d)).select("variant")
 
 
 @query(
@@ -83,7 +93,7 @@ def having_complete_groups(spark: SparkSession, d: str) -> DataFrame:
     ),
 )
 def filter_by_frequency(spark: SparkSession, d: str) -> DataFrame:
-    kept = genotypes.filter_by_frequency(views.genotype(spark, d), LOW, HIGH)
+    kept = genotypes.filter_by_frequency(stored_calls(spark, d), LOW, HIGH)
     return kept.select("sample", "variant", "alt_count")
 
 
@@ -105,7 +115,7 @@ _MEMBER = "variant || '=' || CAST(alt_count AS VARCHAR)"
 )
 def group_collect(spark: SparkSession, d: str) -> DataFrame:
     member = F.concat_ws("=", "variant", F.col("alt_count").cast("string"))
-    groups = relational.collect_groups(views.genotype(spark, d), "sample", "variant", member, CHUNK_ITEMS)
+    groups = relational.collect_groups(stored_calls(spark, d), "sample", "variant", member, CHUNK_ITEMS)
     return groups.select("sample", "chunk", F.array_join("members", ",").alias("members"))
 
 
@@ -155,7 +165,7 @@ def variant_matrix(spark: SparkSession, d: str) -> DataFrame:
     ),
 )
 def variant_vectors(spark: SparkSession, d: str) -> DataFrame:
-    vectors = genotypes.variant_vectors(views.genotype(spark, d))
+    vectors = genotypes.variant_vectors(stored_calls(spark, d))
     text = F.transform("counts", lambda x: x.cast("int").cast("string"))
     return vectors.select("sample", "block", F.array_join(text, ",").alias("counts"))
 
@@ -165,5 +175,5 @@ def population_clusters(spark: SparkSession, d: str) -> DataFrame:
     """Samples of the chosen populations, clustered on five components of their variants."""
     chosen = panel_samples(panel(spark, d), POPULATIONS)
     calls = views.genotype(spark, d)
-    clusters = genotypes.population_clusters(calls, chosen, low=0, high=HIGH)
+    clusters = genotypes.population_clusters(calls, chosen, CLUSTER_LOW, CLUSTER_HIGH)
     return clusters.join(chosen, "sample").select("sample", "population", F.col("prediction").alias("cluster"))

@@ -13,6 +13,7 @@ from tablewright.plans.registry import query
 from tablewright.plans.source_queries import POPULATIONS, panel
 from tablewright.sources.delimited import literal_rows
 from tablewright.sources.genotype_text import panel_samples
+from tablewright.workspace import materialize
 
 # The user and the lowest rating of the single-reader report.
 READER, LOWEST_RATING = "7", 4
@@ -220,11 +221,14 @@ def rating_stats_by_item(spark: SparkSession, d: str) -> DataFrame:
 
 
 def item_mean_predictions(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    """(truth, predictions) per (user, item): the mean rating given, and the item's mean."""
+    """(truth, predictions) per (user, item): the mean rating given, and the item's mean.
+
+    The sums per pair are written once: three later steps start from them, and column
+    pruning would otherwise make each repeat the join of the two fact tables.
+    """
     rated = views.ratings(spark, d).withColumn("r", scalars.to_type("rating", "int"))
-    truth = rated.groupBy("user_id", "item_id").agg(
-        F.sum("r").alias("s"), F.count("r").alias("n")
-    )
+    sums = rated.groupBy("user_id", "item_id").agg(F.sum("r").alias("s"), F.count("r").alias("n"))
+    truth = materialize(sums, "rating-sums")
     item_mean = truth.groupBy("item_id").agg((F.sum("s") / F.sum("n")).alias("prediction"))
     predictions = truth.select("user_id", "item_id").join(item_mean, "item_id")
     return truth.select("user_id", "item_id", (F.col("s") / F.col("n")).alias("label")), predictions

@@ -11,7 +11,7 @@ from tablewright.plans import views
 from tablewright.plans.oracle_views import over
 from tablewright.plans.registry import query
 from tablewright.sources import delimited, genotype_text, models
-from tablewright.workspace import scratch_path
+from tablewright.workspace import materialize, scratch_path
 
 # The populations a panel is restricted to.
 POPULATIONS = ["AMERICA", "ASIA", "EUROPE"]
@@ -113,6 +113,7 @@ def genotype_long(spark: SparkSession, d: str) -> DataFrame:
         F.split("variant", "#")[1].cast("bigint").alias("pos"),
         "alt_count",
     )
+    calls = materialize(calls, "calls")
     samples = [r.sample for r in calls.select("sample").distinct().orderBy("sample").collect()]
     path = genotype_text.write_genotypes(calls, samples, scratch_path(spark, "calls-text"))
     return genotype_text.sample_variants(genotype_text.read_genotypes(spark, path))

@@ -32,13 +32,14 @@ def read_genotypes(spark: SparkSession, path: str) -> DataFrame:
 
     Positions are zero-based and half-open.  Each call becomes a list of allele names:
     REF for 0, ALT for 1, OTHER_ALT for a higher number, NO_CALL for a dot.  The sample
-    names come from the header line, whose length is that of any one record.
+    names come from the header line, whose length is that of any one record; files that
+    list different samples are refused, since a position would mean different samples.
     """
     lines = spark.read.text(path)
-    header = lines.filter(F.col("value").startswith(HEADER_PREFIX)).first()
-    if header is None:
-        raise ValueError(f"no {HEADER_PREFIX} line in {path}")
-    samples = header[0].split("\t")[len(FIXED_COLUMNS):]
+    headers = lines.filter(F.col("value").startswith(HEADER_PREFIX)).distinct().limit(2).collect()
+    if len(headers) != 1:
+        raise ValueError(f"{path} must have one and the same {HEADER_PREFIX} line in its files")
+    samples = headers[0][0].split("\t")[len(FIXED_COLUMNS):]
     names = F.split(F.lit("\t".join(samples)), "\t")
     fields = F.split("value", "\t")
     records = lines.filter(~F.col("value").startswith("#")).select(

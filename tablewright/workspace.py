@@ -12,10 +12,15 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
+# A partition this many times an even share per core is worth splitting, once it has
+# enough rows for the move to pay off.
+MAX_SHARE = 3
+MIN_ROWS_TO_MOVE = 20_000
+
 _local_root: str | None = None
 
 
@@ -43,18 +48,34 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 @contextmanager
-def kept(df: DataFrame) -> Iterator[DataFrame]:
+def kept(df: DataFrame, spread_by: list[str] | None = None) -> Iterator[DataFrame]:
     """``df`` held in memory and on disk while a fit passes over it several times.
 
     Nothing depends on the stored copy: a share lost with its executor is computed again.
+    With ``spread_by``, a unique key, rows are moved once if their partitions turn out so
+    uneven that one task would slow down every pass; even partitions stay as they are.
     """
     stored = df.persist(StorageLevel.MEMORY_AND_DISK)
+    used = stored
+    if spread_by and _is_lopsided(stored):
+        used = stored.repartition(*spread_by).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        yield stored
+        yield used
     finally:
+        used.unpersist()
         stored.unpersist()
 
 
+def _is_lopsided(df: DataFrame) -> bool:
+    """Whether the largest partition is far above an even share per core."""
+    sizes = df.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n"))
+    worst = sizes.agg(F.max("n").alias("worst"), F.sum("n").alias("total")).first()
+    if worst.worst is None or worst.worst < MIN_ROWS_TO_MOVE:
+        return False
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return worst.worst * cores > MAX_SHARE * worst.total
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as parquet in the scratch folder and read it back.
 
