@@ -30,17 +30,17 @@ def _regression_sql(label: str, prediction: str) -> str:
         "priced_lines",
         f""", p AS (SELECT label, p_retailprice * l_quantity AS prediction FROM priced_lines),
              q AS (SELECT {label} AS y, {prediction} AS p, (SELECT avg({label}) FROM p) AS m FROM p)
-           SELECT round(avg((p - y) * (p - y)), 3) + 0.0 AS mse,
+           SELECT round(avg((p - y) * (p - y)), 1) + 0.0 AS mse,
                   round(sqrt(avg((p - y) * (p - y))), 3) + 0.0 AS rmse,
                   round(avg(abs(p - y)), 3) + 0.0 AS mae,
                   round(1 - sum((p - y) * (p - y)) / sum((y - m) * (y - m)), 6) + 0.0 AS r2,
-                  round(avg((p - m) * (p - m)), 3) + 0.0 AS explained_variance
+                  round(avg((p - m) * (p - m)), 1) + 0.0 AS explained_variance
            FROM q""",
     )
 
 
 def _regression_row(df: DataFrame) -> DataFrame:
-    digits = {"r2": 6}
+    digits = {"mse": 1, "explained_variance": 1, "r2": 6}
     return df.select(*[rounded(c, digits.get(c, 3)).alias(c) for c in df.columns])
 
 
