@@ -21,10 +21,14 @@ def md5_prefix(text: Column) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
 
 
-def unit_hash(keys: list[str | Column], seed: int) -> Column:
-    """A repeatable number in [0, 1) for each key: the same on any partitioning."""
+def unit_hash(keys: list[str | Column], seed: int, purpose: str) -> Column:
+    """A repeatable number in [0, 1) for each key: the same on any partitioning.
+
+    Each ``purpose`` draws its own numbers, so a fold number says nothing about the
+    split or sample a row was drawn into even when all of them use one seed.
+    """
     parts = [column(k).cast("string") for k in keys]
-    return md5_prefix(F.concat_ws(":", F.lit(str(seed)), *parts)) / F.lit(MD5_PREFIX_SPAN)
+    return md5_prefix(F.concat_ws(":", F.lit(f"{seed}:{purpose}"), *parts)) / F.lit(MD5_PREFIX_SPAN)
 
 
 def string_key(*parts: str | Column) -> Column:

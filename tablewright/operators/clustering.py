@@ -49,6 +49,7 @@ def sweep_clusters(
     features: str = "features",
     parallelism: int = 4,
     with_silhouette: bool = True,
+    spread_by: list[str] | None = None,
 ) -> DataFrame:
     """(k, cost, silhouette): one fit per k serves both numbers.
 
@@ -56,7 +57,7 @@ def sweep_clusters(
     executor only means that its share is read again.
     """
     spark = df.sparkSession
-    with kept(df.select(features)) as vectors:
+    with kept(df.select(*(spread_by or []), features), spread_by) as vectors:
 
         @inheritable_thread_target(spark)
         def one(k: int) -> tuple[int, float, float | None]:

@@ -103,20 +103,28 @@ def fit_and_score(
     are prepared once and kept for the passes the fit and the scoring make over them.
     """
     spark = df.sparkSession
-    report = {
-        "binary": lambda s: _binary_rows(s, "score"),
-        "multiclass": _multiclass_rows,
-        "regression": lambda s: _long(metrics.regression_metrics(s)),
-    }[kind]
     rows: list[tuple[str, int, str, float]] = []
     with kept(df.select(*keys, "label", "features"), spread_by=keys) as prepared:
         train, test = train_test(prepared, keys, train_weight, seed)
         model = estimator.fit(train.select("label", "features"))
         for name, part in (("train", train), ("test", test)):
-            with kept(_score_columns(model.transform(part), kind)) as scored:
-                n = scored.count()
-                rows += [(name, n, r.metric, r.value) for r in report(scored).collect()]
-    return spark.createDataFrame(rows, "split string, n_rows bigint, metric string, value double")
+            n, report = score_report(model, part, kind)
+            rows += [(name, n, metric, value) for metric, value in report]
+    return spark.createDataFrame(rows, REPORT_SCHEMA)
+
+
+REPORT_SCHEMA = "split string, n_rows bigint, metric string, value double"
+
+
+def score_report(model: Model, df: DataFrame, kind: str) -> tuple[int, list[tuple[str, float]]]:
+    """Number of rows and (metric, value) pairs of a fitted model on ``df``."""
+    metric_rows = {
+        "binary": lambda s: _binary_rows(s, "score"),
+        "multiclass": _multiclass_rows,
+        "regression": lambda s: _long(metrics.regression_metrics(s)),
+    }[kind]
+    with kept(_score_columns(model.transform(df), kind)) as scored:
+        return scored.count(), [(r.metric, r.value) for r in metric_rows(scored).collect()]
 
 
 def _score_columns(scored: DataFrame, kind: str) -> DataFrame:

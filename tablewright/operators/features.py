@@ -16,6 +16,10 @@ from tablewright.operators.ordering import ranked
 from tablewright.operators.relational import distinct_counts, string_columns
 
 
+# A vocabulary up to this size may be held on the driver by a fitted indexer.
+MAX_VOCABULARY = 10_000
+
+
 def assemble(df: DataFrame, inputs: Sequence[str], output: str = "features") -> DataFrame:
     """Add a vector column; a null or NaN input fails rather than vanishing."""
     return VectorAssembler(inputCols=list(inputs), outputCol=output).transform(df)
@@ -79,8 +83,17 @@ def wide_columns(df: DataFrame, columns: Sequence[str] | None = None, limit: int
     return distinct_counts(df, names).where(F.col("n_distinct") > limit)
 
 
-def indexers(columns: Sequence[str], invalid: str = "error") -> StringIndexer:
-    """One indexer stage over several categorical columns of checked width."""
+def indexers(
+    df: DataFrame, columns: Sequence[str], invalid: str = "error", limit: int = MAX_VOCABULARY
+) -> StringIndexer:
+    """One indexer stage over several categorical columns.
+
+    A fitted indexer holds its vocabulary on the driver, so the distinct values are
+    counted first; columns above ``limit`` go through ``label_index`` instead.
+    """
+    too_wide = [r["column"] for r in wide_columns(df, columns, limit).collect()]
+    if too_wide:
+        raise ValueError(f"more than {limit} values, use label_index: {too_wide}")
     return StringIndexer(
         inputCols=list(columns), outputCols=[f"idx_{c}" for c in columns], handleInvalid=invalid
     )
@@ -90,7 +103,7 @@ def fit_feature_pipeline(
     df: DataFrame, numeric: Sequence[str], categorical: Sequence[str] = ()
 ) -> PipelineModel:
     """Index the categorical columns and assemble everything into ``features``."""
-    stages = [indexers(categorical)] if categorical else []
+    stages = [indexers(df, categorical)] if categorical else []
     names = [*numeric, *[f"idx_{c}" for c in categorical]]
     stages.append(VectorAssembler(inputCols=names, outputCol="features"))
     return Pipeline(stages=stages).fit(df)

@@ -8,8 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import NumericType, StringType
 
-from tablewright.functions.scalars import unit_hash
-from tablewright.operators.ordering import ranked
+from tablewright.operators.ordering import running_totals
 
 
 # --- column choice -----------------------------------------------------------
@@ -191,31 +190,36 @@ def distinct_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 # --- groups as lists ---------------------------------------------------------
 
 
-def collect_groups(
-    df: DataFrame, key: str, item: str, value: Column, chunk_items: int = 50_000
-) -> DataFrame:
-    """(key, chunk, members): the rows of each group as sorted arrays of bounded length.
-
-    A group larger than ``chunk_items`` is spread over several chunks by a hash of its
-    item, so no task ever holds a whole hot group; the chunks together are the group.
-    """
-    sizes = df.groupBy(F.col(key).alias("__key")).agg(F.count("*").alias("__n"))
-    chunks = F.ceil(F.col("__n") / F.lit(chunk_items))
-    spread = df.join(sizes, F.col(key).eqNullSafe(F.col("__key"))).withColumn(
-        "chunk", F.floor(unit_hash([item], 0) * chunks).cast("int")
-    )
-    return spread.groupBy(key, "chunk").agg(F.array_sort(F.collect_list(value)).alias("members"))
-
-
 def sort_groups(
     df: DataFrame, key: str, order_by: Sequence[str], value: Column, chunk_items: int = 50_000
 ) -> DataFrame:
     """(key, chunk, members): each group in order, cut into runs of bounded length.
 
-    Reading the chunks of a key in turn gives the whole group in order.
+    Reading the chunks of a key in turn gives the whole group in order.  Copies of a
+    member are counted before anything is sorted and written out again per chunk, so
+    neither a hot group nor a member with very many copies gathers in one task.
     """
-    placed = ranked(df, list(order_by), [key], name="__pos").withColumn(
-        "chunk", F.floor((F.col("__pos") - 1) / F.lit(chunk_items)).cast("int")
+    runs = df.groupBy(key, *order_by, value.alias("__v")).agg(F.count("*").alias("__n"))
+    placed = running_totals(runs, [*order_by, "__v"], {"__end": "__n"}, [key])
+    size = F.lit(chunk_items)
+    start, end = F.col("__end") - F.col("__n"), F.col("__end")
+
+    def chunk_of(position: Column) -> Column:
+        return F.floor(position / size)
+
+    pieces = placed.select(
+        key, "__v", start.alias("__start"), "__end",
+        F.explode(F.sequence(chunk_of(start), chunk_of(end - 1))).alias("chunk"),
+    )
+    copies = F.least(F.col("__end"), (F.col("chunk") + 1) * size) - F.greatest(
+        F.col("__start"), F.col("chunk") * size
     )
-    run = F.array_sort(F.collect_list(F.struct(F.col("__pos"), value.alias("v"))))
-    return placed.groupBy(key, "chunk").agg(F.transform(run, lambda s: s["v"]).alias("members"))
+    run = F.struct(F.col("__end"), F.col("__v").alias("v"), copies.cast("int").alias("copies"))
+    in_order = F.array_sort(F.collect_list(run))
+    members = F.flatten(F.transform(in_order, lambda r: F.array_repeat(r["v"], r["copies"])))
+    return pieces.groupBy(key, F.col("chunk").cast("int").alias("chunk")).agg(members.alias("members"))
+
+
+def collect_groups(df: DataFrame, key: str, value: Column, chunk_items: int = 50_000) -> DataFrame:
+    """(key, chunk, members): the rows of each group as sorted arrays of bounded length."""
+    return sort_groups(df, key, [], value, chunk_items)

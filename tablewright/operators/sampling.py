@@ -23,7 +23,7 @@ def hash_split(
 ) -> DataFrame:
     """Add the name of the part each row falls in; weights are taken relative to their sum."""
     total = sum(w for _, w in weights)
-    u = unit_hash(keys, seed)
+    u = unit_hash(keys, seed, "split")
     part: Column = F.lit(weights[-1][0])
     upper = total - weights[-1][1]
     for label, weight in reversed(weights[:-1]):
@@ -35,7 +35,7 @@ def hash_split(
 def train_test(
     df: DataFrame, keys: list[str], train_weight: float, seed: int
 ) -> tuple[DataFrame, DataFrame]:
-    u = unit_hash(keys, seed)
+    u = unit_hash(keys, seed, "split")
     return df.filter(u < train_weight), df.filter(u >= train_weight)
 
 
@@ -45,7 +45,7 @@ def split_sizes(df: DataFrame, name: str = "split") -> DataFrame:
 
 def hash_sample(df: DataFrame, keys: list[str], fraction: float, seed: int) -> DataFrame:
     """Sample without replacement by key."""
-    return df.filter(unit_hash(keys, seed) < fraction)
+    return df.filter(unit_hash(keys, seed, "sample") < fraction)
 
 
 def stratified_sample(
@@ -55,12 +55,12 @@ def stratified_sample(
     wanted: Column = F.lit(0.0)
     for value, fraction in fractions.items():
         wanted = F.when(F.col(stratum) == value, F.lit(fraction)).otherwise(wanted)
-    return df.filter(unit_hash(keys, seed) < wanted)
+    return df.filter(unit_hash(keys, seed, "stratum") < wanted)
 
 
 def assign_folds(df: DataFrame, keys: list[str], k: int, seed: int, name: str = "fold") -> DataFrame:
     """Add a fold number 0 to k-1, usable as the fold column of cross-validation."""
-    return df.withColumn(name, F.floor(unit_hash(keys, seed) * k).cast("int"))
+    return df.withColumn(name, F.floor(unit_hash(keys, seed, "fold") * k).cast("int"))
 
 
 def random_split(df: DataFrame, weights: list[float], seed: int) -> list[DataFrame]:

@@ -10,6 +10,7 @@ from tablewright.plans import (  # noqa: F401
     relational_queries,
     sampling_queries,
     source_queries,
+    workflows,
 )
 from tablewright.plans.registry import ORACLES, QUERIES
 

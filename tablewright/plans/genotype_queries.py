@@ -105,17 +105,15 @@ _MEMBER = "variant || '=' || CAST(alt_count AS VARCHAR)"
     over(
         "genotype",
         f""", c AS (SELECT sample, {_MEMBER} AS member,
-                      CAST(floor(CAST(('0x' || substr(md5('0:' || variant), 1, 8)) AS BIGINT)
-                                 / CAST(4294967296.0 AS DOUBLE)
-                                 * ceil(count(*) OVER (PARTITION BY sample) / {CHUNK_ITEMS}.0)) AS INT) AS chunk
-                    FROM genotype)
-           SELECT sample, chunk, string_agg(member, ',' ORDER BY member) AS members
-           FROM c GROUP BY sample, chunk""",
+                      row_number() OVER (PARTITION BY sample ORDER BY {_MEMBER}) AS pos FROM genotype)
+           SELECT sample, CAST(floor((pos - 1) / {CHUNK_ITEMS}.0) AS INT) AS chunk,
+                  string_agg(member, ',' ORDER BY pos) AS members
+           FROM c GROUP BY 1, 2""",
     ),
 )
 def group_collect(spark: SparkSession, d: str) -> DataFrame:
     member = F.concat_ws("=", "variant", F.col("alt_count").cast("string"))
-    groups = relational.collect_groups(stored_calls(spark, d), "sample", "variant", member, CHUNK_ITEMS)
+    groups = relational.collect_groups(views.genotype(spark, d), "sample", member, CHUNK_ITEMS)
     return groups.select("sample", "chunk", F.array_join("members", ",").alias("members"))
 
 

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -101,9 +101,10 @@ _NB = """, s AS (SELECT lang AS class, CAST(count(*) AS DOUBLE) AS n, sum(n_spac
 def fit_naive_bayes(spark: SparkSession, d: str):
     """(model, class names, rows) of the language model over two character counts."""
     docs = views.doc_features(spark, d).select("lang", *NB_FEATURES)
-    index: StringIndexerModel = StringIndexer(inputCol="lang", outputCol="label").fit(docs)
-    rows = features.assemble(index.transform(docs), NB_FEATURES).select("lang", "label", "features")
-    return estimators.make("naive_bayes_classify").fit(rows), index.labels, rows
+    index = features.indexers(docs, ["lang"]).fit(docs)
+    indexed = index.transform(docs).withColumnRenamed("idx_lang", "label")
+    rows = features.assemble(indexed, NB_FEATURES).select("lang", "label", "features")
+    return estimators.make("naive_bayes_classify").fit(rows), index.labelsArray[0], rows
 
 
 @query(
@@ -273,7 +274,7 @@ def pipeline_predict(spark: SparkSession, d: str) -> DataFrame:
     docs = views.doc_features(spark, d).withColumn("label", F.col("quality").cast("double"))
     train, test = sampling.train_test(docs, ["doc_id"], TRAIN_WEIGHT, SEED)
     stages = [
-        features.indexers(["lang"], invalid="keep"),
+        features.indexers(train, ["lang"], invalid="keep"),
         VectorAssembler(inputCols=[*DOC_FEATURES, "idx_lang"], outputCol="features"),
         estimators.make("logistic_classify"),
     ]
@@ -360,13 +361,13 @@ def kmeans_assign(spark: SparkSession, d: str) -> DataFrame:
 
 @query("kmeans_elbow")
 def kmeans_elbow(spark: SparkSession, d: str) -> DataFrame:
-    sweep = clustering.sweep_clusters(vector_rows(spark, d), with_silhouette=False)
+    sweep = clustering.sweep_clusters(vector_rows(spark, d), with_silhouette=False, spread_by=["vec_id"])
     return sweep.select("k", "cost")
 
 
 @query("kmeans_silhouette_sweep")
 def kmeans_silhouette_sweep(spark: SparkSession, d: str) -> DataFrame:
-    return clustering.sweep_clusters(vector_rows(spark, d)).select("k", "cost", "silhouette")
+    return clustering.sweep_clusters(vector_rows(spark, d), spread_by=["vec_id"]).select("k", "cost", "silhouette")
 
 
 @query("pca_kmeans")

@@ -83,7 +83,7 @@ def over(views: str, body: str) -> str:
     return f"WITH {head}\n{body}"
 
 
-def unit(key: str, seed: int) -> str:
+def unit(key: str, seed: int, purpose: str) -> str:
     """The key hash in [0, 1) as SQL."""
-    digits = f"substr(md5(concat_ws(':', '{seed}', CAST({key} AS VARCHAR))), 1, 8)"
+    digits = f"substr(md5(concat_ws(':', '{seed}:{purpose}', CAST({key} AS VARCHAR))), 1, 8)"
     return f"(CAST(('0x' || {digits}) AS BIGINT) / CAST(4294967296.0 AS DOUBLE))"

@@ -16,7 +16,7 @@ SAMPLE_FRACTION = 0.25
 CLASS_FRACTIONS = {"False": 0.5, "True": 1.0}
 FOLDS = 10
 
-_SPLIT = f"CASE WHEN {unit('cust_id', SPLIT_SEED)} < 0.6 THEN 'train' ELSE 'test' END"
+_SPLIT = f"CASE WHEN {unit('cust_id', SPLIT_SEED, 'split')} < 0.6 THEN 'train' ELSE 'test' END"
 
 
 def split_accounts(spark: SparkSession, d: str) -> DataFrame:
@@ -41,7 +41,7 @@ def split_sizes(spark: SparkSession, d: str) -> DataFrame:
     "hash_sample",
     over(
         "customer_account",
-        f"SELECT cust_id, churn FROM customer_account WHERE {unit('cust_id', SAMPLE_SEED)} < {SAMPLE_FRACTION}",
+        f"SELECT cust_id, churn FROM customer_account WHERE {unit('cust_id', SAMPLE_SEED, 'sample')} < {SAMPLE_FRACTION}",
     ),
 )
 def hash_sample(spark: SparkSession, d: str) -> DataFrame:
@@ -54,7 +54,7 @@ def hash_sample(spark: SparkSession, d: str) -> DataFrame:
     over(
         "customer_account",
         f"""SELECT cust_id, churn FROM customer_account
-            WHERE {unit('cust_id', STRATUM_SEED)} < CASE churn WHEN 'True' THEN 1.0 ELSE 0.5 END""",
+            WHERE {unit('cust_id', STRATUM_SEED, 'stratum')} < CASE churn WHEN 'True' THEN 1.0 ELSE 0.5 END""",
     ),
 )
 def stratified_sample(spark: SparkSession, d: str) -> DataFrame:
@@ -66,7 +66,7 @@ def stratified_sample(spark: SparkSession, d: str) -> DataFrame:
     "kfold_assign",
     over(
         "customer_account",
-        f"""SELECT CAST(floor({unit('cust_id', SPLIT_SEED)} * {FOLDS}) AS INT) AS fold, count(*) AS n
+        f"""SELECT CAST(floor({unit('cust_id', SPLIT_SEED, 'fold')} * {FOLDS}) AS INT) AS fold, count(*) AS n
             FROM customer_account GROUP BY 1""",
     ),
 )

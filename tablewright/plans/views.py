@@ -168,6 +168,21 @@ def language_guesses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def register(spark: SparkSession, sf_dir: str) -> None:
+    """Name every view for SQL text: ``spark.sql`` can then query them by these names."""
+    for name, build in {
+        "user_account": customer_account,
+        "ratings": ratings,
+        "books": items,
+        "traffic": priced_lines,
+        "documents_scored": scored_documents,
+        "expression": expression,
+        "genotypes": genotype,
+        "user_events": user_event_matrix,
+    }.items():
+        build(spark, sf_dir).createOrReplaceTempView(name)
+
+
 def population_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sample and population as one line of panel text each."""
     nation = table(spark, sf_dir, "nation")

@@ -58,6 +58,13 @@ def test_feature_pipeline(spark):
     assert [list(r.features) for r in out.orderBy("x").collect()] == [[1, 0], [2, 1], [3, 0]]
 
 
+def test_indexers_refuse_a_large_vocabulary(spark):
+    df = spark.range(50).selectExpr("cast(id as string) AS p", "'a' AS q")
+    with pytest.raises(ValueError, match="label_index"):
+        features.indexers(df, ["p", "q"], limit=49)
+    assert features.indexers(df, ["p", "q"], limit=50).getOutputCols() == ["idx_p", "idx_q"]
+
+
 def test_assemble_and_take_apart(spark):
     df = spark.createDataFrame([(1, 2.0, 3.0)], "id int, a double, b double")
     out = features.vector_elements(features.assemble(df, ["b", "a"]).select("id", "features"), "features", ["f0", "f1"])

@@ -167,3 +167,11 @@ def test_first_split_of_a_tree_is_the_best_split(sep2):
     got = splits.gini_best_split(sep2, ["x1", "x2"]).orderBy("gain", ascending=False).first()
     root = float(model.toDebugString.split("<=")[1].split(")")[0])
     assert got.feature == "x1" and got.threshold == pytest.approx(root)
+
+
+def test_tuned_report_is_held_out(sep2):
+    from tablewright.plans.workflows import tuned_report
+
+    report = tuned_report(sep2, ["id"], "logistic_classify", "binary", folds=3).collect()
+    assert {r.split for r in report} == {"test"} and 100 < report[0].n_rows < 220
+    assert next(r.value for r in report if r.metric == "roc_auc") > 0.95

@@ -59,11 +59,21 @@ def test_sorted_groups_in_chunks(spark, many_blocks):
         assert [k for _, m in chunks for k in m] == sorted(k for h, k in rows if h == g)
 
 
+def test_copies_of_one_member_are_spread(spark, many_blocks):
+    rows = [("hot", 7)] * 500 + [("hot", k) for k in range(20)] + [("g", 1)] * 3
+    df = spark.createDataFrame(rows, "g string, k int").repartition(6)
+    out = relational.sort_groups(df, "g", ["k"], F.col("k"), chunk_items=16).collect()
+    assert max(len(r.members) for r in out) <= 16
+    for g in ("hot", "g"):
+        chunks = sorted((r.chunk, r.members) for r in out if r.g == g)
+        assert [k for _, m in chunks for k in m] == sorted(k for h, k in rows if h == g)
+
+
 def test_collected_groups_are_whole_and_bounded(spark):
     rows = [(("hot" if i % 3 == 0 else None if i % 5 == 0 else f"g{i % 4}"), f"i{i}") for i in range(3000)]
     df = spark.createDataFrame(rows, "g string, k string")
-    out = relational.collect_groups(df, "g", "k", F.col("k"), chunk_items=100).collect()
-    assert max(len(r.members) for r in out) < 200
+    out = relational.collect_groups(df, "g", F.col("k"), chunk_items=100).collect()
+    assert max(len(r.members) for r in out) <= 100
     for g in {g for g, _ in rows}:
         members = [k for r in out if r.g == g for k in r.members]
         assert sorted(members) == sorted(k for h, k in rows if h == g)

@@ -80,3 +80,24 @@ def test_scalars(spark):
     assert all(0 <= r.h < 100 for r in got)
     assert [r.i for r in got] == [9, None] and [r.c for r in got] == [2, 0]
     assert got[0].k == "-2147483648:9" and got[0].r is None and str(got[0].z) == "0.0"
+
+
+def test_sql_text_over_registered_views(spark, small):
+    """The reports as SQL text give the rows of the registered queries."""
+    from tablewright.plans import views
+    from tablewright.plans.catalog import QUERIES
+
+    views.register(spark, small)
+    stats = spark.sql(
+        """SELECT bookrates.item_id, books.title, bookrates.maxr AS max_rating, bookrates.minr AS min_rating,
+                  bookrates.cntu AS n_users
+           FROM (SELECT item_id, max(CAST(rating AS INT)) AS maxr, min(CAST(rating AS INT)) AS minr,
+                        count(DISTINCT user_id) AS cntu FROM ratings GROUP BY item_id) bookrates
+           JOIN books ON bookrates.item_id = books.item_id ORDER BY cntu DESC, item_id"""
+    )
+    assert stats.collect() == QUERIES["rating_stats_by_item"](spark, small).collect()
+    assert spark.sql("SELECT max(rating) AS m FROM ratings").first().m == "9"
+    top = spark.sql("SELECT user_id, count(*) AS n FROM ratings GROUP BY user_id ORDER BY n DESC, user_id LIMIT 10")
+    assert top.collect() == QUERIES["most_active_users"](spark, small).collect()
+    total = spark.sql("SELECT churn, sum(n_urgent) AS s FROM user_account GROUP BY churn").collect()
+    assert sorted(map(tuple, total)) == sorted(map(tuple, QUERIES["group_sum"](spark, small).collect()))

@@ -14,7 +14,7 @@ def keyed(spark):
 
 
 def _unit(key: int, seed: int) -> float:
-    return int(hashlib.md5(f"{seed}:{key}".encode()).hexdigest()[:8], 16) / 2**32
+    return int(hashlib.md5(f"{seed}:split:{key}".encode()).hexdigest()[:8], 16) / 2**32
 
 
 def test_split_is_the_same_on_any_partitioning(keyed):
@@ -52,6 +52,12 @@ def test_samples_and_folds(keyed):
     assert all(r["count"] == pytest.approx(400, rel=0.25) for r in folds)
 
 
+def test_folds_are_independent_of_the_split(keyed):
+    train, _ = sampling.train_test(keyed, ["id"], 0.6, 4)
+    folds = sampling.assign_folds(train, ["id"], 10, 4).groupBy("fold").count().collect()
+    assert len(folds) == 10 and all(r["count"] == pytest.approx(240, rel=0.3) for r in folds)
+
+
 def test_spark_generators_take_a_seed(keyed):
     a, b = sampling.random_split(keyed, [0.8, 0.2], 5)
     assert a.count() + b.count() == 4000
