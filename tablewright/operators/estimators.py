@@ -25,7 +25,7 @@ from pyspark.ml.regression import (
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tablewright.operators import metrics
-from tablewright.operators.sampling import train_test
+from tablewright.operators.sampling import hash_split
 from tablewright.workspace import kept
 
 # The parameters each estimator starts from.
@@ -57,36 +57,36 @@ def make(name: str, **params) -> Estimator:
     return kind(**{**defaults, **params})
 
 
-def _binary_rows(scored: DataFrame, score: str) -> DataFrame:
-    counts = metrics.confusion_counts(scored)
-    return _long(metrics.binary_rates(counts)).unionByName(
-        _long(metrics.roc_auc(scored, score=score))
-    ).unionByName(_long(metrics.pr_auc(scored, score=score)))
-
-
-def _long(one_row: DataFrame) -> DataFrame:
-    """Turn a one-row table of numbers into (metric, value) rows."""
-    cells = [
-        F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value"))
-        for c in one_row.columns
-    ]
-    return one_row.select(F.inline(F.array(*cells)))
-
-
-def _multiclass_rows(scored: DataFrame) -> DataFrame:
-    per_class = metrics.multiclass_metrics(metrics.multiclass_confusion(scored))
-    whole = per_class.where(F.col("class") == "all").select(F.lit("accuracy").alias("metric"), F.col("accuracy").alias("value"))
-    classes = per_class.where(F.col("class") != "all").select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(F.concat_ws("_", F.lit(m), "class").alias("metric"), F.col(m).alias("value"))
-                    for m in ("precision", "recall", "f1")
-                ]
-            )
-        )
+def _long(df: DataFrame, names: Sequence[str], by: Sequence[str]) -> DataFrame:
+    """Turn metric columns into (metric, value) rows, keeping the ``by`` columns."""
+    cells = [F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value")) for c in names]
+    return df.select(*by, F.inline(F.array(*cells)))
+
+
+def _binary_rows(scored: DataFrame, by: list[str]) -> DataFrame:
+    counts = metrics.confusion_counts(scored, by=by)
+    rates = metrics.binary_rates(counts, by)
+    areas = metrics.curve_areas(metrics.score_curve(scored, by=by), by)
+    names = [c for c in rates.columns if c not in by]
+    return _long(rates, names, by).unionByName(_long(areas, ["roc_auc", "pr_auc"], by))
+
+
+def _multiclass_rows(scored: DataFrame, by: list[str]) -> DataFrame:
+    found = metrics.multiclass_metrics(metrics.multiclass_confusion(scored, by=by), by=by)
+    whole = _long(found.where(F.col("class") == "all"), ["accuracy"], by)
+    names = ["precision", "recall", "f1"]
+    classes = _long(found.where(F.col("class") != "all"), names, [*by, "class"])
+    return whole.unionByName(
+        classes.select(*by, F.concat_ws("_", "metric", "class").alias("metric"), "value")
     )
-    return whole.unionByName(classes)
+
+
+def _regression_rows(scored: DataFrame, by: list[str]) -> DataFrame:
+    found = metrics.regression_metrics(scored, by=by)
+    return _long(found, [c for c in found.columns if c not in by], by)
+
+
+REPORTS = {"binary": _binary_rows, "multiclass": _multiclass_rows, "regression": _regression_rows}
 
 
 def fit_and_score(
@@ -100,36 +100,28 @@ def fit_and_score(
     """(split, n_rows, metric, value): fit on a keyed share of the rows, score both shares.
 
     ``kind`` is 'binary', 'multiclass' or 'regression'.  Keys, label and feature vector
-    are prepared once and kept for the passes the fit and the scoring make over them.
+    are prepared once and kept for the passes the fit and the scoring make over them;
+    both shares are judged together.
     """
-    spark = df.sparkSession
-    rows: list[tuple[str, int, str, float]] = []
-    with kept(df.select(*keys, "label", "features"), spread_by=keys) as prepared:
-        train, test = train_test(prepared, keys, train_weight, seed)
-        model = estimator.fit(train.select("label", "features"))
-        for name, part in (("train", train), ("test", test)):
-            n, report = score_report(model, part, kind)
-            rows += [(name, n, metric, value) for metric, value in report]
-    return spark.createDataFrame(rows, REPORT_SCHEMA)
-
-
-REPORT_SCHEMA = "split string, n_rows bigint, metric string, value double"
-
-
-def score_report(model: Model, df: DataFrame, kind: str) -> tuple[int, list[tuple[str, float]]]:
-    """Number of rows and (metric, value) pairs of a fitted model on ``df``."""
-    metric_rows = {
-        "binary": lambda s: _binary_rows(s, "score"),
-        "multiclass": _multiclass_rows,
-        "regression": lambda s: _long(metrics.regression_metrics(s)),
-    }[kind]
+    weights = [("train", train_weight), ("test", 1 - train_weight)]
+    prepared = hash_split(df.select(*keys, "label", "features"), keys, weights, seed)
+    with kept(prepared, spread_by=keys) as rows:
+        model = estimator.fit(rows.where(F.col("split") == "train").select("label", "features"))
+        return score_report(model, rows, kind)
+
+
+def score_report(model: Model, df: DataFrame, kind: str) -> DataFrame:
+    """(split, n_rows, metric, value) of a fitted model on rows that name their split."""
+    by = ["split"]
     with kept(_score_columns(model.transform(df), kind)) as scored:
-        return scored.count(), [(r.metric, r.value) for r in metric_rows(scored).collect()]
+        sizes = scored.groupBy(*by).agg(F.count("*").alias("n_rows"))
+        found = REPORTS[kind](scored, by).join(sizes, by).select("split", "n_rows", "metric", "value")
+        return df.sparkSession.createDataFrame(found.collect(), found.schema)
 
 
 def _score_columns(scored: DataFrame, kind: str) -> DataFrame:
-    """Keep the label, the prediction and, for two classes, the margin of the positive one."""
-    keep = ["label", "prediction"]
+    """Keep the split, label, prediction and, for two classes, the positive one's margin."""
+    keep = ["split", "label", "prediction"]
     if kind == "binary":
         return scored.select(*keep, vector_to_array("rawPrediction")[1].alias("score"))
     return scored.select(*keep)

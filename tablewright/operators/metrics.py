@@ -1,7 +1,13 @@
-"""Evaluation metrics as aggregates over (label, prediction) or (label, score) columns."""
+"""Evaluation metrics as aggregates over (label, prediction) or (label, score) columns.
+
+Every metric can be taken ``by`` some columns, which gives one result per group (the
+parts of a split, say) from the same pass.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -9,14 +15,16 @@ from tablewright.functions.scalars import ratio
 from tablewright.operators.ordering import running_totals
 
 
-def regression_metrics(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
+def regression_metrics(
+    df: DataFrame, label: str = "label", prediction: str = "prediction", by: Sequence[str] = ()
+) -> DataFrame:
     """Squared, absolute and relative errors from one pass.
 
     The explained variance is the mean squared distance of the predictions from the
     mean label, taken apart so that no large squares are subtracted.
     """
     y, p = F.col(label), F.col(prediction)
-    sums = df.agg(
+    sums = df.groupBy(*by).agg(
         F.avg((p - y) * (p - y)).alias("mse"),
         F.avg(F.abs(p - y)).alias("mae"),
         F.var_pop(y).alias("var_y"),
@@ -24,6 +32,7 @@ def regression_metrics(df: DataFrame, label: str = "label", prediction: str = "p
         (F.avg(p) - F.avg(y)).alias("shift"),
     )
     return sums.select(
+        *by,
         "mse",
         F.sqrt("mse").alias("rmse"),
         "mae",
@@ -40,46 +49,67 @@ def rmse(df: DataFrame, label: str = "label", prediction: str = "prediction") ->
 # --- two classes -------------------------------------------------------------
 
 
-def _by_score(df: DataFrame, label: str, score: str, positive) -> DataFrame:
+def score_curve(
+    df: DataFrame,
+    label: str = "label",
+    score: str = "score",
+    positive=1.0,
+    by: Sequence[str] = (),
+) -> DataFrame:
+    """(score, tp, fp, hits, misses): the counts at each score and those down to it.
+
+    Rows are counted per distinct score before anything is sorted, so ties never gather.
+    """
     hit = F.col(label) == F.lit(positive)
-    return df.groupBy(F.col(score).alias("score")).agg(
+    points = df.groupBy(*by, F.col(score).alias("score")).agg(
         F.count_if(hit).alias("tp"), F.count_if(~hit).alias("fp")
     )
+    return running_totals(points, [F.desc("score")], {"hits": "tp", "misses": "fp"}, by)
+
+
+def curve_areas(curve: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """(roc_auc, pr_auc) of a score curve, both from one aggregate.
+
+    ROC: the share of (positive, negative) pairs in the right order, equal scores counting
+    half.  Precision-recall: trapezoids, from recall 0 at the precision of the top score.
+    """
+    hits, misses, tp = F.col("hits"), F.col("misses"), F.col("tp")
+    hits_before, misses_before = hits - tp, misses - F.col("fp")
+    precision = hits / (hits + misses)
+    before = ratio(hits_before, (hits_before + misses_before).cast("double"))
+    sums = curve.groupBy(*by).agg(
+        F.sum(tp * (misses - F.col("fp") / F.lit(2.0))).alias("lost"),
+        F.sum(tp * (precision + F.coalesce(before, precision)) / F.lit(2.0)).alias("area"),
+        F.max("hits").cast("double").alias("p"),
+        F.max("misses").cast("double").alias("n"),
+    )
+    return sums.select(
+        *by,
+        (F.lit(1.0) - ratio(F.col("lost"), F.col("p") * F.col("n"))).alias("roc_auc"),
+        ratio(F.col("area"), F.col("p")).alias("pr_auc"),
+    )
 
 
 def roc_auc(df: DataFrame, label: str = "label", score: str = "score", positive=1.0) -> DataFrame:
-    """Area under the ROC curve; rows with equal scores count half."""
-    points = running_totals(_by_score(df, label, score, positive), ["score"], {"fp_so_far": "fp"})
-    below = F.col("fp_so_far") - F.col("fp")
-    won = F.sum(F.col("tp") * (below + F.col("fp") / F.lit(2.0)))
-    pairs = F.sum("tp").cast("double") * F.sum("fp").cast("double")
-    return points.agg(ratio(won, pairs).alias("roc_auc"))
+    """Area under the ROC curve; null when a class is absent."""
+    return curve_areas(score_curve(df, label, score, positive)).select("roc_auc")
 
 
 def pr_auc(df: DataFrame, label: str = "label", score: str = "score", positive=1.0) -> DataFrame:
-    """Area under the precision-recall curve by trapezoids.
-
-    The curve starts at recall 0 with the precision of the highest score.
-    """
-    points = running_totals(
-        _by_score(df, label, score, positive),
-        [F.desc("score")],
-        {"hits": "tp", "misses": "fp"},
-    )
-    hits, misses = F.col("hits"), F.col("misses")
-    hits_before, misses_before = hits - F.col("tp"), misses - F.col("fp")
-    precision = hits / (hits + misses)
-    precision_before = F.coalesce(ratio(hits_before, (hits_before + misses_before).cast("double")), precision)
-    area = F.sum(F.col("tp") * (precision + precision_before) / F.lit(2.0))
-    return points.agg(ratio(area, F.sum("tp").cast("double")).alias("pr_auc"))
+    """Area under the precision-recall curve; null when there is no positive row."""
+    return curve_areas(score_curve(df, label, score, positive)).select("pr_auc")
 
 
 def confusion_counts(
-    df: DataFrame, label: str = "label", prediction: str = "prediction", positive=1.0
+    df: DataFrame,
+    label: str = "label",
+    prediction: str = "prediction",
+    positive=1.0,
+    by: Sequence[str] = (),
 ) -> DataFrame:
     """tp, tn, fp, fn and n from a single pass; ``positive`` says which class is positive."""
     truth, guess = F.col(label) == F.lit(positive), F.col(prediction) == F.lit(positive)
-    return df.agg(
+    return df.groupBy(*by).agg(
         F.count_if(truth & guess).alias("tp"),
         F.count_if(~truth & ~guess).alias("tn"),
         F.count_if(~truth & guess).alias("fp"),
@@ -105,10 +135,11 @@ def matthews_corrcoef(counts: DataFrame) -> DataFrame:
     return counts.select(_mcc(*cells).alias("mcc"))
 
 
-def binary_rates(counts: DataFrame) -> DataFrame:
+def binary_rates(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Rates within a class or a prediction, accuracy, F1 and the Matthews coefficient."""
     tp, tn, fp, fn = [F.col(c).cast("double") for c in ("tp", "tn", "fp", "fn")]
     return counts.select(
+        *by,
         ratio(tp, tp + fn).alias("tpr"),
         ratio(tn, tn + fp).alias("tnr"),
         ratio(tp, tp + fp).alias("ppv"),
@@ -125,11 +156,15 @@ def binary_rates(counts: DataFrame) -> DataFrame:
 # --- many classes ------------------------------------------------------------
 
 
-def multiclass_confusion(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
-    return df.groupBy(label, prediction).agg(F.count("*").alias("n"))
+def multiclass_confusion(
+    df: DataFrame, label: str = "label", prediction: str = "prediction", by: Sequence[str] = ()
+) -> DataFrame:
+    return df.groupBy(*by, label, prediction).agg(F.count("*").alias("n"))
 
 
-def multiclass_metrics(confusion: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
+def multiclass_metrics(
+    confusion: DataFrame, label: str = "label", prediction: str = "prediction", by: Sequence[str] = ()
+) -> DataFrame:
     """(class, precision, recall, f1, accuracy) from confusion cells.
 
     Each cell adds to its true class and to its predicted class, so one grouping gives
@@ -143,16 +178,18 @@ def multiclass_metrics(confusion: DataFrame, label: str = "label", prediction: s
         return F.struct(label_text, actual.alias("actual"), guessed.alias("guessed"))
 
     cells = confusion.select(
+        *by,
         F.inline(F.array(margin(label, F.col("n"), zero), margin(prediction, zero, F.col("n")))),
         F.when(hit, F.col("n")).otherwise(0).alias("hits"),
     )
-    per_class = cells.groupBy("class").agg(
+    per_class = cells.groupBy(*by, "class").agg(
         F.sum("actual").alias("actual"),
         F.sum("guessed").alias("guessed"),
         F.sum(F.when(F.col("actual") > 0, F.col("hits")).otherwise(0)).alias("hits"),
     )
     hits, actual, guessed = [F.col(c).cast("double") for c in ("hits", "actual", "guessed")]
     rows = per_class.select(
+        *by,
         "class",
         ratio(hits, guessed).alias("precision"),
         ratio(hits, actual).alias("recall"),
@@ -160,9 +197,12 @@ def multiclass_metrics(confusion: DataFrame, label: str = "label", prediction: s
         F.lit(None).cast("double").alias("accuracy"),
     )
     none = F.lit(None).cast("double")
-    whole = confusion.agg(
-        ratio(F.sum(F.when(hit, F.col("n")).otherwise(0)).cast("double"), F.sum("n").cast("double")).alias("accuracy")
-    ).select(F.lit("all").alias("class"), none.alias("precision"), none.alias("recall"), none.alias("f1"), "accuracy")
+    right = F.sum(F.when(hit, F.col("n")).otherwise(0)).cast("double")
+    whole = (
+        confusion.groupBy(*by)
+        .agg(ratio(right, F.sum("n").cast("double")).alias("accuracy"))
+        .withColumns({"class": F.lit("all"), "precision": none, "recall": none, "f1": none})
+    )
     return rows.unionByName(whole)
 
 

@@ -50,9 +50,7 @@ def tuned_report(
         folds,
         seed,
     )
-    n, report = estimators.score_report(model, test, kind)
-    found = [("test", n, metric, value) for metric, value in report]
-    return rows.sparkSession.createDataFrame(found, estimators.REPORT_SCHEMA)
+    return estimators.score_report(model, test.withColumn("split", F.lit("test")), kind)
 
 
 def churn_rows(spark: SparkSession, d: str, positive_class: str = "True") -> DataFrame:
