@@ -61,13 +61,18 @@ def running_totals(
     starts = per_block.select(
         *[F.col(g).alias(f"__g_{g}") for g in groups],
         F.col(BLOCK).alias("__b"),
+        F.lag(F.lit(True)).over(by_block).alias("__continues"),
+        F.lead(F.lit(True)).over(by_block).alias("__continued"),
         *[F.sum(name).over(before).alias(f"__start{name}") for name in inputs],
         *([F.lead("__first").over(by_block).alias("__next_first")] if next_value else []),
-    )
+    ).where(F.col("__continues") | F.col("__continued"))
+    # Rows are sorted by group first, so only a block's first and last group can reach
+    # into another block: at most two rows per sorted partition remain, however many
+    # groups there are, and sending them to every task spares the rows another shuffle.
     match = F.col(BLOCK) == F.col("__b")
     for g in groups:
         match = match & F.col(g).eqNullSafe(F.col(f"__g_{g}"))
-    joined = blocks.withColumns(columns).join(starts, match, "left")
+    joined = blocks.withColumns(columns).join(F.broadcast(starts), match, "left")
 
     result: dict[str, Column] = {
         out: F.col(out) + F.coalesce(F.col(f"__start__in_{out}"), F.lit(0)) for out in totals
@@ -93,7 +98,7 @@ def ranked(
 def _numbered(df: DataFrame, order_by: Sequence[str | Column], name: str) -> DataFrame:
     """Positions over the whole table: rows before the block, plus the place inside it.
 
-    Only the block sizes are added up; no row is shuffled again.
+    Only the block sizes are added up, one per sorted partition; no row is shuffled again.
     """
     blocks = sorted_blocks(df, order_by)
     sizes = blocks.groupBy(BLOCK).agg(F.count("*").alias("__size"))
@@ -102,7 +107,7 @@ def _numbered(df: DataFrame, order_by: Sequence[str | Column], name: str) -> Dat
         F.col(BLOCK), F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__start")
     )
     inside = F.col(ROW) - F.shiftleft(F.col(BLOCK), PARTITION_SHIFT)
-    placed = blocks.join(starts, BLOCK)
+    placed = blocks.join(F.broadcast(starts), BLOCK)
     return placed.select(*df.columns, (F.col("__start") + inside + 1).alias(name))
 
 

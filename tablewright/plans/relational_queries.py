@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tablewright.functions import scalars
 from tablewright.functions.scalars import rounded
-from tablewright.operators import metrics, relational
+from tablewright.operators import metrics, relational, sampling
 from tablewright.plans import views
 from tablewright.plans.oracle_views import over
 from tablewright.plans.registry import query
@@ -456,18 +456,14 @@ def describe_strings(spark: SparkSession, d: str) -> DataFrame:
     "union_vocabulary",
     over(
         "customer_account",
-        """SELECT value, count(*) AS n
-           FROM (SELECT plan AS value FROM customer_account WHERE cust_id % 2 = 0
-                 UNION ALL SELECT plan FROM customer_account WHERE cust_id % 2 = 1)
-           GROUP BY value""",
+        "SELECT plan AS value, count(*) AS n FROM customer_account GROUP BY plan",
     ),
 )
 def union_vocabulary(spark: SparkSession, d: str) -> DataFrame:
     """The shared vocabulary of a training and a test part, with its frequencies."""
     plans = views.customer_account(spark, d).select("cust_id", F.col("plan").alias("value"))
-    first = plans.where(F.col("cust_id") % 2 == 0).select("value")
-    second = plans.where(F.col("cust_id") % 2 == 1).select("value")
-    return first.unionByName(second).groupBy("value").agg(F.count("*").alias("n"))
+    train, test = sampling.train_test(plans, ["cust_id"], 0.8, 23579)
+    return train.unionByName(test).groupBy("value").agg(F.count("*").alias("n"))
 
 
 @query(

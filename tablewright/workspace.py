@@ -20,6 +20,7 @@ CHECKPOINT_KEY = "spark.checkpoint.dir"
 # enough rows for the move to pay off.
 MAX_SHARE = 3
 MIN_ROWS_TO_MOVE = 20_000
+ROWS_PER_PARTITION = 1_000_000
 
 _local_root: str | None = None
 
@@ -57,8 +58,9 @@ def kept(df: DataFrame, spread_by: list[str] | None = None) -> Iterator[DataFram
     """
     stored = df.persist(StorageLevel.MEMORY_AND_DISK)
     used = stored
-    if spread_by and _is_lopsided(stored):
-        used = stored.repartition(*spread_by).persist(StorageLevel.MEMORY_AND_DISK)
+    width = _wanted_partitions(stored) if spread_by else None
+    if width:
+        used = stored.repartition(width, *spread_by).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         yield used
     finally:
@@ -66,14 +68,16 @@ def kept(df: DataFrame, spread_by: list[str] | None = None) -> Iterator[DataFram
         stored.unpersist()
 
 
-def _is_lopsided(df: DataFrame) -> bool:
-    """Whether the largest partition is far above an even share per core."""
+def _wanted_partitions(df: DataFrame) -> int | None:
+    """How many partitions to move to if the largest is far above an even share per core."""
     sizes = df.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n"))
     worst = sizes.agg(F.max("n").alias("worst"), F.sum("n").alias("total")).first()
     if worst.worst is None or worst.worst < MIN_ROWS_TO_MOVE:
-        return False
+        return None
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return worst.worst * cores > MAX_SHARE * worst.total
+    if worst.worst * cores <= MAX_SHARE * worst.total:
+        return None
+    return max(cores, worst.total // ROWS_PER_PARTITION)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
