@@ -7,9 +7,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tablewright.llm import sql
 from tablewright.llm.decontaminate import decontaminate
+from tablewright.llm.katz import score_documents
 from tablewright.llm.licence_scan import scan_licences
+from tablewright.llm.quality_rules import apply_quality_rules
+from tablewright.llm.site_quality import classify_by_site
 from tablewright.llm.source_mix import mix_sources
 from tablewright.llm.token_counts import count_tokens
+from tablewright.llm.toxicity import score_toxicity
 from tablewright.plans.views import table
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -28,6 +32,11 @@ def query(name: str, statement: str | None = None):
     return add
 
 
+@query("op1_quality_rules")
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return apply_quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query("op3_source_mix", sql.SOURCE_MIX)
 def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents"))
@@ -47,3 +56,18 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.drop("items")
+
+
+@query("op8_site_quality")
+def op8_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify_by_site(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op9_toxicity")
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op10_katz_scores")
+def op10_katz_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(table(spark, sf_dir, "documents"))
