@@ -2,29 +2,26 @@
 
 from __future__ import annotations
 
-from itertools import combinations
-
 import numpy as np
 
 ORDER, DECAY = 4, 0.6
-CHUNK = 4096
+CHUNK = 8192
+
+
+# A bit for each letter a-z; bytes beyond ASCII share the 32 bits above; padding has none.
+LETTER_BITS = np.zeros(256, dtype=np.int64)
+LETTER_BITS[97:123] = 1 << np.arange(26)
+LETTER_BITS[128:] = 1 << (26 + np.arange(128) % 32)
 
 
-def letter_masks(words: list[bytes]) -> np.ndarray:
-    """A bit for each letter a-z of a word; all bytes beyond ASCII share the last bits."""
-    out = np.zeros(len(words), dtype=np.int64)
-    for i, w in enumerate(words):
-        m = 0
-        for b in set(w):
-            m |= 1 << ((b - 97) if 97 <= b <= 122 else 26 + (b & 31))
-        out[i] = m
-    return out
+def letter_masks(rows: np.ndarray) -> np.ndarray:
+    """The set of letters of each row of bytes."""
+    return np.bitwise_or.reduce(LETTER_BITS[rows], axis=1)
 
 
-def least_letters(landmark: bytes, order: int = ORDER) -> int:
-    """Fewest different letters that a common subsequence of full order can have."""
-    masks = {int(m) for m in letter_masks([bytes(c) for c in set(combinations(landmark, order))])}
-    return min((m.bit_count() for m in masks), default=0)
+def least_letters(landmark: bytes) -> int:
+    """Different letters of the landmark that a unit must share: all but one."""
+    return max(1, len(set(landmark)) - 1)
 
 
 def kernel(words: np.ndarray, landmark: bytes, order: int = ORDER, decay: float = DECAY) -> np.ndarray:
@@ -32,22 +29,20 @@ def kernel(words: np.ndarray, landmark: bytes, order: int = ORDER, decay: float
     the power of the two spans.  ``words``: rows of bytes, padded with 0 at the end."""
     n, length = words.shape
     q = len(landmark)
+    letters = np.frombuffer(landmark, np.uint8)[:, None]
+    square = np.float32(decay * decay)
+    # Row j sums what ends at or before landmark letter j, each letter further back decayed.
+    back = np.arange(q)[:, None] - np.arange(q)[None, :]
+    fading = np.where(back >= 0, decay ** np.maximum(back, 0), 0.0).astype(np.float32)
     near = np.zeros((order, q + 1, n), dtype=np.float32)
     near[0] = 1.0
     total = np.zeros(n, dtype=np.float32)
-    square = np.float32(decay * decay)
-    decay = np.float32(decay)
     for k in range(length):
-        same = (words[:, k][None, :] == np.frombuffer(landmark, np.uint8)[:, None]).astype(np.float32)
-        same *= square
-        total += (same * near[order - 1, :q]).sum(axis=0)
-        for i in range(order - 1, 0, -1):
-            run = np.zeros(n, dtype=np.float32)
-            for j in range(1, q + 1):
-                run *= decay
-                run += same[j - 1] * near[i - 1, j - 1]
-                near[i, j] *= decay
-                near[i, j] += run
+        same = (words[:, k][None, :] == letters) * square
+        total += np.einsum("qn,qn->n", same, near[order - 1, :q])
+        ends = fading @ (same * near[: order - 1, :q])
+        near[1:, 1:] *= np.float32(decay)
+        near[1:, 1:] += ends
     return total
 
 
@@ -59,13 +54,14 @@ def padded(words: list[bytes]) -> np.ndarray:
 class Landmarks:
     """Similarity of units to landmarks: K(unit, landmark) / K(landmark, landmark), at most 1.
 
-    A unit that holds the landmark letter by letter has 1, gaps and inserted letters lower it.
+    A unit that holds the landmark letter by letter has 1, gaps and inserted letters lower it,
+    and a unit that lacks more than one of its different letters has 0.
     """
 
     def __init__(self, landmarks: list[bytes]):
         self.landmarks = landmarks
         self.own = np.array([kernel(padded([x]), x)[0] for x in landmarks], dtype=np.float64)
-        self.masks = letter_masks(landmarks)
+        self.masks = letter_masks(padded(landmarks))
         self.least = [least_letters(x) for x in landmarks]
 
     def gram(self) -> np.ndarray:
@@ -82,7 +78,8 @@ class Landmarks:
         units = sorted(units, key=len)
         for at in range(0, len(units), CHUNK):
             chunk = units[at : at + CHUNK]
-            masks, rows = letter_masks(chunk), padded(chunk)
+            rows = padded(chunk)
+            masks = letter_masks(rows)
             for j, x in enumerate(self.landmarks):
                 possible = np.nonzero(np.bitwise_count(masks & self.masks[j]) >= self.least[j])[0]
                 if not len(possible):

@@ -4,8 +4,8 @@ A text is a set of units: its words without punctuation and digits, and runs of
 words joined ("i d i o t").  The landmarks are pieces of words that labelled toxic texts have
 far more often than clean ones, chosen to cover the toxic texts.  A text's similarity to a
 landmark is the largest kernel value of its units; the similarities are mapped by the inverse
-root of the landmarks' Gram matrix, and a linear machine and a logistic curve on its margin
-give the score.  Nothing but the text enters a score.
+root of the landmarks' Gram matrix, beside the largest of them, and a linear machine and a
+logistic curve on its margin give the score.  Nothing but the text enters a score.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, functions as F
 from tablewright.llm.labelled import HELD_OUT_FOLD, SAMPLE_ROWS, labelled_sample
 from tablewright.llm.string_kernel import Landmarks
 from tablewright.llm.words import CARRIED, LOWER, WORD_BYTES, fold_number, uncarry
-from tablewright.workspace import materialize
+from tablewright.workspace import kept, materialize
 
 #: Most landmarks, most words they are chosen from, and the lengths of pieces of words.
 LANDMARKS = 48
@@ -30,12 +30,15 @@ CANDIDATES = 3000
 PIECE_LENGTHS = range(4, 11)
 #: A candidate is this many times as frequent in toxic texts as in clean ones.
 LEAST_RATIO = 8.0
+#: A landmark covers at least this share of the toxic texts anew.
+LEAST_COVER = 0.01
 #: Kernel similarities below this count as none.
 FLOOR = 0.25
 LONGEST_UNIT = 24
 SHORT, RUN = 2, 3
 REMEMBERED = 500_000
-REGULARISATION = 0.0005
+TEXTS_AT_ONCE = 1000
+REGULARISATION = 0.0001
 
 KEPT_BYTES = set(LOWER) | {b for b in WORD_BYTES if b >= 0x80} | set(b" \t\n\r\x0b\x0c")
 DROPPED = bytes(b for b in range(256) if b not in KEPT_BYTES)
@@ -78,7 +81,10 @@ class ToxicityModel:
 
 
 class UnitMemory:
-    """Similarities of units seen before by this worker, so that each is computed once."""
+    """Similarities of units seen before by this worker, so that each is computed once.
+
+    A text's vector has its similarity to each landmark and, last, the largest of them.
+    """
 
     def __init__(self, landmarks: list[bytes]):
         self.landmarks = Landmarks(landmarks)
@@ -86,9 +92,9 @@ class UnitMemory:
         self.similar: dict[bytes, list[tuple[int, float]]] = {}
 
     def vectors(self, texts: list[str | None]) -> np.ndarray:
-        out = np.zeros((len(texts), len(self.landmarks.landmarks)))
-        for at in range(0, len(texts), 200):
-            units = [units_of(t) for t in texts[at : at + 200]]
+        out = np.zeros((len(texts), len(self.landmarks.landmarks) + 1))
+        for at in range(0, len(texts), TEXTS_AT_ONCE):
+            units = [units_of(t) for t in texts[at : at + TEXTS_AT_ONCE]]
             fresh = set().union(*units) - self.seen
             if len(self.seen) + len(fresh) > REMEMBERED:
                 self.seen, self.similar = set(), {}
@@ -99,6 +105,7 @@ class UnitMemory:
                 for u in own & self.similar.keys():
                     for j, s in self.similar[u]:
                         out[i, j] = max(out[i, j], s)
+        out[:, -1] = out.max(axis=1)
         return out
 
 
@@ -116,7 +123,9 @@ def _word_counts(sample: DataFrame) -> DataFrame:
             pa.schema([("word", pa.binary()), ("toxic", pa.int64()), ("clean", pa.int64())]),
         )
 
-    counted = sample.select("text", "label").mapInArrow(count, "word binary, toxic long, clean long")
+    # Copies of one text say no more than the text itself.
+    texts = sample.select("text", "label").distinct()
+    counted = texts.mapInArrow(count, "word binary, toxic long, clean long")
     return counted.groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
@@ -161,13 +170,15 @@ def choose_landmarks(sample: DataFrame, n_toxic: int, n_clean: int) -> list[byte
     pieces = {w: pieces_of(w) for w in open_words}
     counts = _piece_counts(words, set().union(*pieces.values())) if pieces else {}
     fair = {p for p, (t, c) in counts.items() if ratio(t, c) >= LEAST_RATIO}
-    gain, holders = Counter(), {}
+    # What a piece covers counts beyond LEAST_RATIO times what its clean texts let expect.
+    gain = Counter({p: -LEAST_RATIO * counts[p][1] * n_toxic / max(1, n_clean) for p in fair})
+    holders: dict[bytes, list[bytes]] = {}
     for w, t in open_words.items():
         for p in pieces[w] & fair:
             gain[p] += t
             holders.setdefault(p, []).append(w)
     chosen: list[bytes] = []
-    least = max(2.0, 0.002 * n_toxic)
+    least = max(2.0, LEAST_COVER * n_toxic)
     while gain and len(chosen) < LANDMARKS:
         best = max(gain, key=lambda p: (gain[p], len(p), p))
         if gain[best] < least:
@@ -211,22 +222,25 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, bound: int = SAMPLE_ROWS) -
     root = vectors @ np.diag(1 / np.sqrt(np.maximum(values, 1e-3))) @ vectors.T
 
     shared = docs.sparkSession.sparkContext.broadcast(landmarks)
+    # The largest similarity passes through the map as it is.
+    root = np.block([[root, np.zeros((len(root), 1))], [np.zeros((1, len(root))), np.ones((1, 1))]])
     mapped = F.transform(
         F.array(*[F.array(*[F.lit(float(v)) for v in row]) for row in root]),
         lambda row: F.aggregate(F.zip_with(row, "x", lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v),
     )
     rows = sample.withColumn("x", _vector_udf(shared)("text")).select("label", "weight", "x")
-    rows = materialize(rows.withColumn("z", mapped), "toxic-vectors").withColumn("v", array_to_vector("z"))
-    machine = LinearSVC(
-        featuresCol="v", labelCol="label", weightCol="weight", regParam=REGULARISATION, maxIter=100, standardization=False
-    ).fit(rows)
-    weights = root @ np.array(machine.coefficients)
-    bias = float(machine.intercept)
-    terms = F.zip_with("x", F.array(*[F.lit(float(w)) for w in weights]), lambda a, b: a * b)
-    margin = F.aggregate(terms, F.lit(bias), lambda s, v: s + v)
-    curve = LogisticRegression(featuresCol="m", labelCol="label", weightCol="weight", regParam=0.001).fit(
-        rows.select("label", "weight", array_to_vector(F.array(margin)).alias("m"))
-    )
+    rows = rows.withColumn("v", array_to_vector(mapped)).select("label", "weight", "x", "v")
+    with kept(rows) as rows:
+        machine = LinearSVC(
+            featuresCol="v", labelCol="label", weightCol="weight", regParam=REGULARISATION, maxIter=100, standardization=False
+        ).fit(rows)
+        weights = root @ np.array(machine.coefficients)
+        bias = float(machine.intercept)
+        terms = F.zip_with("x", F.array(*[F.lit(float(w)) for w in weights]), lambda a, b: a * b)
+        margin = F.aggregate(terms, F.lit(bias), lambda s, v: s + v)
+        curve = LogisticRegression(featuresCol="m", labelCol="label", weightCol="weight", regParam=0.001).fit(
+            rows.select("label", "weight", array_to_vector(F.array(margin)).alias("m"))
+        )
     return ToxicityModel(landmarks, weights, bias, float(curve.coefficients[0]), float(curve.intercept))
 
 
