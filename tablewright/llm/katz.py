@@ -49,6 +49,17 @@ def unpacked(data: bytes, kind) -> np.ndarray:
     return np.frombuffer(zstandard.decompress(data), kind)
 
 
+def tails(hashes: np.ndarray) -> bytes:
+    """The upper 48 bits of each hash: enough to tell the words after one history apart."""
+    return hashes.view(np.uint8).reshape(-1, 8)[:, 2:].tobytes()
+
+
+def from_tails(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // 6, 8), np.uint8)
+    out[:, 2:] = np.frombuffer(data, np.uint8).reshape(-1, 6)
+    return out.view(np.uint64).reshape(-1)
+
+
 class _Shard:
     """Documents gathered until they have enough tokens."""
 
@@ -241,6 +252,8 @@ def count_pairs(shards: DataFrame, words: DataFrame, parts: int, hot: np.ndarray
             pairs = _Pairs(shard, parts, hot)
             counts = _word_counts(answers[answers["shard"] == shard["shard"]], train_docs)[pairs.word[pairs.order]]
             n = pairs.n[pairs.order]
+            # The count of a word only matters where the pair was seen in training.
+            counts[n == 0] = 0
             for part in range(parts):
                 a, b = pairs.cuts[part], pairs.cuts[part + 1]
                 if a == b:
@@ -248,24 +261,23 @@ def count_pairs(shards: DataFrame, words: DataFrame, parts: int, hot: np.ndarray
                 starts = pairs.run_start[np.searchsorted(pairs.run_start, a) : np.searchsorted(pairs.run_start, b)]
                 runs = np.diff(np.append(starts, b))
                 rows.append(
-                    (part, shard["shard"], pairs.h[starts].tobytes(), packed(runs), pairs.w[a:b].tobytes(), packed(n[a:b]), packed(counts[a:b]))
+                    (part, shard["shard"], pairs.h[starts].tobytes(), packed(runs), tails(pairs.w[a:b]), packed(n[a:b]), packed(counts[a:b]))
                 )
         return pd.DataFrame(rows, columns=["part", "shard", "h", "runs", "w", "n", "c"])
 
     def add_up(asked: pd.DataFrame) -> pd.DataFrame:
         own_h = [np.frombuffer(h, np.uint64) for h in asked["h"]]
         h = np.concatenate([np.repeat(x, unpacked(r, np.int64)) for x, r in zip(own_h, asked["runs"])])
-        w = np.concatenate([np.frombuffer(x, np.uint64) for x in asked["w"]])
-        sizes = [len(x) // 8 for x in asked["w"]]
+        w = np.concatenate([from_tails(x) for x in asked["w"]])
+        sizes = [len(x) // 6 for x in asked["w"]]
         order = np.lexsort((w, h))
         new = np.ones(len(order), bool)
         new[1:] = (h[order][1:] != h[order][:-1]) | (w[order][1:] != w[order][:-1])
         pair = np.empty(len(order), np.int64)
         pair[order] = np.cumsum(new) - 1
-        first = order[new]
         seen = np.bincount(pair, np.concatenate([unpacked(x, np.int64) for x in asked["n"]])).astype(np.int64)
-        word_count = np.concatenate([unpacked(x, np.int64) for x in asked["c"]])[first]
-        histories, of = np.unique(h[first], return_inverse=True)
+        word_count = np.maximum.reduceat(np.concatenate([unpacked(x, np.int64) for x in asked["c"]])[order], np.flatnonzero(new))
+        histories, of = np.unique(h[order[new]], return_inverse=True)
         facts = np.zeros((len(histories), r_max + 2), np.int64)
         for r in range(1, r_max + 1):
             facts[:, r - 1] = np.bincount(of, seen == r, len(histories))

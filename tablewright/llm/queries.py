@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tablewright.llm import sql
 from tablewright.llm.decontaminate import decontaminate
+from tablewright.llm.jaccard_join import join_similar
 from tablewright.llm.katz import score_documents
 from tablewright.llm.licence_scan import scan_licences
 from tablewright.llm.quality_rules import apply_quality_rules
@@ -42,6 +43,11 @@ def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents"))
 
 
+@query("op4_jaccard_join")
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return join_similar(table(spark, sf_dir, "documents"))
+
+
 @query("op5_licence_scan")
 def op5_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licences(table(spark, sf_dir, "documents")).drop("matches")
