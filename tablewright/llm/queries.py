@@ -10,6 +10,7 @@ from tablewright.llm.decontaminate import decontaminate
 from tablewright.llm.jaccard_join import join_similar
 from tablewright.llm.katz import score_documents
 from tablewright.llm.licence_scan import scan_licences
+from tablewright.llm.page_text import extract_text
 from tablewright.llm.quality_rules import apply_quality_rules
 from tablewright.llm.site_quality import classify_by_site
 from tablewright.llm.source_mix import mix_sources
@@ -38,6 +39,11 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query("op2_page_text")
+def op2_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(table(spark, sf_dir, "pages"))
+
+
 @query("op3_source_mix", sql.SOURCE_MIX)
 def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents"))
