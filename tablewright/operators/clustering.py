@@ -16,6 +16,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
+from tablewright.operators.features import fixed_width_rows
 from tablewright.operators.metrics import silhouette
 from tablewright.workspace import kept
 
@@ -86,8 +87,7 @@ def assign_nearest(df: DataFrame, array: str, centres: np.ndarray) -> DataFrame:
 
     def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            flat = batch.column(batch.schema.get_field_index(array)).flatten()
-            rows = flat.to_numpy(zero_copy_only=False).reshape(-1, d)
+            rows = fixed_width_rows(batch.column(batch.schema.get_field_index(array)), d)
             distances = np.empty((len(rows), k))
             for c in range(k):
                 gap = rows - centres[c]

@@ -44,17 +44,23 @@ DEFAULTS: dict[str, tuple[type[Estimator], dict]] = {
     "rf_classify": (RandomForestClassifier, {"seed": 1234567}),
     "linear_regress": (LinearRegression, {"solver": "normal", "regParam": 0.0}),
     "glm_regress": (GeneralizedLinearRegression, {"family": "gaussian", "link": "identity"}),
-    "dtree_regress": (DecisionTreeRegressor, {"impurity": "variance"}),
-    "gbt_regress": (GBTRegressor, {"impurity": "variance"}),
-    "rf_regress": (RandomForestRegressor, {"impurity": "variance"}),
+    "dtree_regress": (DecisionTreeRegressor, {"impurity": "variance", "seed": 1234567}),
+    "gbt_regress": (GBTRegressor, {"impurity": "variance", "seed": 1234567}),
+    "rf_regress": (RandomForestRegressor, {"impurity": "variance", "seed": 1234567}),
     "mlp_classify": (MultilayerPerceptronClassifier, {"maxIter": 100, "seed": 12345}),
 }
 
 
 def make(name: str, **params) -> Estimator:
-    """An estimator by name; ``params`` replace its starting parameters."""
+    """An estimator by name; ``params`` replace its starting parameters.
+
+    One that draws at random must have a seed: the default follows from the process.
+    """
     kind, defaults = DEFAULTS[name]
-    return kind(**{**defaults, **params})
+    made = kind(**{**defaults, **params})
+    if made.hasParam("seed") and not made.isSet("seed"):
+        raise ValueError(f"{name} needs a seed")
+    return made
 
 
 def _long(df: DataFrame, names: Sequence[str], by: Sequence[str]) -> DataFrame:
@@ -73,9 +79,9 @@ def _binary_rows(scored: DataFrame, by: list[str]) -> DataFrame:
 
 def _multiclass_rows(scored: DataFrame, by: list[str]) -> DataFrame:
     found = metrics.multiclass_metrics(metrics.multiclass_confusion(scored, by=by), by=by)
-    whole = _long(found.where(F.col("class") == "all"), ["accuracy"], by)
+    whole = _long(found.where(F.col("is_total")), ["accuracy"], by)
     names = ["precision", "recall", "f1"]
-    classes = _long(found.where(F.col("class") != "all"), names, [*by, "class"])
+    classes = _long(found.where(~F.col("is_total")), names, [*by, "class"])
     return whole.unionByName(
         classes.select(*by, F.concat_ws("_", "metric", "class").alias("metric"), "value")
     )

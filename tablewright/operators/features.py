@@ -6,6 +6,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import PCA, PCAModel, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -16,10 +17,6 @@ from tablewright.operators.ordering import ranked
 from tablewright.operators.relational import distinct_counts, string_columns
 
 
-# A vocabulary up to this size may be held on the driver by a fitted indexer.
-MAX_VOCABULARY = 10_000
-
-
 def assemble(df: DataFrame, inputs: Sequence[str], output: str = "features") -> DataFrame:
     """Add a vector column; a null or NaN input fails rather than vanishing."""
     return VectorAssembler(inputCols=list(inputs), outputCol=output).transform(df)
@@ -83,17 +80,19 @@ def wide_columns(df: DataFrame, columns: Sequence[str] | None = None, limit: int
     return distinct_counts(df, names).where(F.col("n_distinct") > limit)
 
 
-def indexers(
-    df: DataFrame, columns: Sequence[str], invalid: str = "error", limit: int = MAX_VOCABULARY
-) -> StringIndexer:
-    """One indexer stage over several categorical columns.
+def apply_label_indices(df: DataFrame, index: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``idx_`` columns for all of ``columns`` from one shared index, a join for each."""
+    for c in columns:
+        df = apply_label_index(df, index, c, f"idx_{c}")
+    return df
+
 
-    A fitted indexer holds its vocabulary on the driver, so the distinct values are
-    counted first; columns above ``limit`` go through ``label_index`` instead.
+def indexers(columns: Sequence[str], invalid: str = "error") -> StringIndexer:
+    """One indexer stage over several categorical columns, for use inside a pipeline.
+
+    Spark keeps a fitted indexer's vocabulary on the driver; ``label_index`` gives the same
+    numbers as a table for vocabularies that grow with the data.
     """
-    too_wide = [r["column"] for r in wide_columns(df, columns, limit).collect()]
-    if too_wide:
-        raise ValueError(f"more than {limit} values, use label_index: {too_wide}")
     return StringIndexer(
         inputCols=list(columns), outputCols=[f"idx_{c}" for c in columns], handleInvalid=invalid
     )
@@ -103,7 +102,7 @@ def fit_feature_pipeline(
     df: DataFrame, numeric: Sequence[str], categorical: Sequence[str] = ()
 ) -> PipelineModel:
     """Index the categorical columns and assemble everything into ``features``."""
-    stages = [indexers(df, categorical)] if categorical else []
+    stages = [indexers(categorical)] if categorical else []
     names = [*numeric, *[f"idx_{c}" for c in categorical]]
     stages.append(VectorAssembler(inputCols=names, outputCol="features"))
     return Pipeline(stages=stages).fit(df)
@@ -116,6 +115,15 @@ def fit_pca(df: DataFrame, k: int, features: str = "features", output: str = "pc
     return PCA(k=k, inputCol=features, outputCol=output).fit(df)
 
 
+def fixed_width_rows(arrays: pa.ListArray, width: int) -> np.ndarray:
+    """The arrays as rows of a matrix; one that is null, holds a null or has another length fails."""
+    lengths = np.array([-1 if n is None else n for n in pc.list_value_length(arrays).to_pylist()])
+    flat = arrays.flatten()
+    if (lengths != width).any() or flat.null_count:
+        raise ValueError(f"every array must have {width} numbers")
+    return flat.to_numpy(zero_copy_only=False).reshape(-1, width)
+
+
 def covariance(df: DataFrame, array: str) -> DataFrame:
     """(i, j, cov): sample covariance of every pair of elements of an array column.
 
@@ -134,8 +142,7 @@ def covariance(df: DataFrame, array: str) -> DataFrame:
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((d, d))
         for batch in batches:
-            values = batch.column(0).flatten().to_numpy(zero_copy_only=False)
-            rows = values.reshape(-1, d) - centre
+            rows = fixed_width_rows(batch.column(0), d) - centre
             total += rows.T @ rows
         yield pa.RecordBatch.from_pydict({"gram": pa.array([total.ravel()], pa.list_(pa.float64()))})
 

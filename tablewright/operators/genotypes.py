@@ -4,15 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tablewright.operators.clustering import pca_kmeans
+from tablewright.operators.clustering import assign_clusters
 from tablewright.operators.ordering import dense_ids
 from tablewright.workspace import materialize
 
-# Fixed value: the widest matrix Spark's principal components accept.
-MAX_PCA_COLUMNS = 65_535
+#: Variants of one block of a sample's vector.
+BLOCK_WIDTH = 65_535
+#: Most samples whose pairwise products the driver takes apart (8 bytes a pair).
+MOST_SAMPLES = 10_000
 
 
 def semi_join_panel(calls: DataFrame, samples: DataFrame) -> DataFrame:
@@ -48,19 +52,35 @@ def filter_by_frequency(calls: DataFrame, low: int, high: int) -> DataFrame:
 
 
 def variant_matrix(calls: DataFrame, variants: Sequence[str]) -> DataFrame:
-    """One row per sample and one integer column per variant of a stated list."""
-    return calls.groupBy("sample").pivot("variant", list(variants)).agg(F.max("alt_count"))
+    """One row per sample and one integer column per variant of a stated list.
+
+    A variant outside the list fails the job instead of vanishing.
+    """
+    known = F.col("variant").isin(list(variants))
+    unknown = F.raise_error(F.concat(F.lit("variant not in the header: "), F.col("variant")))
+    checked = calls.withColumn("variant", F.when(known, F.col("variant")).otherwise(unknown.cast("string")))
+    return checked.groupBy("sample").pivot("variant", list(variants)).agg(F.max("alt_count"))
+
+
+def variant_header(calls: DataFrame, most: int) -> list[str]:
+    """The variants of the table in order, for a matrix of at most ``most`` columns."""
+    found = [r.variant for r in calls.select("variant").distinct().orderBy("variant").limit(most + 1).collect()]
+    if len(found) > most:
+        raise ValueError(f"more than {most} variants: use variant_vectors")
+    return found
 
 
-def variant_vectors(calls: DataFrame, width: int = MAX_PCA_COLUMNS) -> DataFrame:
+def variant_vectors(calls: DataFrame, width: int = BLOCK_WIDTH) -> DataFrame:
     """(sample, block, counts): alternate counts in variant order, 0 where a call is missing.
 
-    Every variant is numbered once for all samples.  Block b holds the variants numbered
+    Every variant is numbered once for all samples.  Every sample has every block.  Block b holds the variants numbered
     from b * width on, so an array is never longer than ``width`` and a sample with more
     variants than that has several blocks.
     """
-    numbers = dense_ids(calls, "variant", "position")
+    numbers = materialize(dense_ids(calls, "variant", "position"), "variant-numbers")
     n_variants = numbers.agg(F.count("*").alias("n")).first().n
+    if not n_variants:
+        return calls.select("sample", F.lit(0).alias("block"), F.array(F.lit(0.0)).alias("counts")).limit(0)
     placed = (
         calls.join(numbers, "variant")
         .groupBy("sample", "position")
@@ -82,28 +102,69 @@ def variant_vectors(calls: DataFrame, width: int = MAX_PCA_COLUMNS) -> DataFrame
 
     last = F.element_at("cells", -1)["at"]
     counts = F.concat(F.flatten(F.transform("cells", with_gap)), _zeros(length - 1 - last))
-    return blocks.select("sample", "block", counts.alias("counts"))
+    filled = blocks.select("sample", "block", counts.alias("counts"))
+    # A sample without any call in a block has zeros there.
+    last_block = (n_variants - 1) // width
+    every = calls.select("sample").distinct().withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(last_block))))
+    return every.join(filled, ["sample", "block"], "left").select(
+        "sample", "block", F.coalesce("counts", _zeros(length)).alias("counts")
+    )
 
 
 def _zeros(n: Column) -> Column:
     return F.array_repeat(F.lit(0.0), n.cast("int"))
 
 
+def sample_components(vectors: DataFrame, components: int) -> DataFrame:
+    """(sample, pcs): the samples on their first principal components, from (sample, block, counts).
+
+    Samples are few and variants are many, so the products are taken between samples: each
+    block is centred by variant and gives the sums of products of every pair of samples, the
+    blocks' sums are added up, and only that samples-by-samples matrix reaches the driver.
+    """
+    names = sorted(r.sample for r in vectors.select("sample").distinct().limit(MOST_SAMPLES + 1).collect())
+    if len(names) > MOST_SAMPLES:
+        raise ValueError(f"more than {MOST_SAMPLES} samples")
+
+    def products(block: pd.DataFrame) -> pd.DataFrame:
+        block = block.sort_values("sample")
+        x = np.stack(block["counts"].to_numpy())
+        x = x - x.mean(axis=0)
+        n = len(block)
+        samples = block["sample"].to_numpy()
+        return pd.DataFrame({"a": np.repeat(samples, n), "b": np.tile(samples, n), "v": (x @ x.T).ravel()})
+
+    sums = vectors.groupBy("block").applyInPandas(products, "a string, b string, v double")
+    at = {s: i for i, s in enumerate(names)}
+    gram = np.zeros((len(names), len(names)))
+    for r in sums.groupBy("a", "b").agg(F.sum("v").alias("v")).toLocalIterator():
+        gram[at[r.a], at[r.b]] = r.v
+    values, directions = np.linalg.eigh((gram + gram.T) / 2)
+    order = np.argsort(values)[::-1][:components]
+    placed = directions[:, order] * np.sqrt(np.maximum(values[order], 0.0))
+    rows = [(s, [float(v) for v in placed[i]]) for s, i in at.items()]
+    return vectors.sparkSession.createDataFrame(rows, "sample string, pcs array<double>")
+
+
+def sample_points(calls: DataFrame, samples: DataFrame, low: int, high: int, components: int = 5) -> DataFrame:
+    """(sample, features): restrict, filter, build vectors, take the components.
+
+    Each reduced table is written once, so the calls are read and joined a single time.
+    """
+    panel_calls = materialize(semi_join_panel(calls, samples), "panel-calls")
+    chosen = materialize(filter_by_frequency(panel_calls, low, high), "chosen-calls")
+    points = sample_components(materialize(variant_vectors(chosen), "sample-vectors"), components)
+    return points.select("sample", array_to_vector("pcs").alias("features"))
+
+
 def population_clusters(
     calls: DataFrame, samples: DataFrame, low: int, high: int, components: int = 5, k: int = 2
 ) -> DataFrame:
-    """(sample, prediction): restrict, filter, build vectors, project, cluster.
+    """(sample, prediction): the samples clustered on the components of their variants.
 
-    Each reduced table is written once, so the calls are read and joined a single time
-    however many passes the fits make.
+    No sample is left where no variant has a carrier count in the range; the result is empty.
     """
-    panel_calls = materialize(semi_join_panel(calls, samples), "panel-calls")
-    chosen = materialize(filter_by_frequency(panel_calls, low, high), "chosen-calls")
-    vectors = materialize(variant_vectors(chosen), "sample-vectors")
-    shape = vectors.agg(F.max("block").alias("b"), F.max(F.size("counts")).alias("d")).first()
-    if shape.d is None:
-        raise ValueError("no variant has a carrier count in the given range")
-    if shape.b > 0:
-        raise ValueError(f"more than {MAX_PCA_COLUMNS} variants: narrow the carrier range")
-    features = vectors.select("sample", array_to_vector("counts").alias("features"))
-    return pca_kmeans(features, min(components, shape.d), k).select("sample", "prediction")
+    points = sample_points(calls, samples, low, high, components)
+    if points.isEmpty():
+        return points.select("sample", F.lit(None).cast("int").alias("prediction"))
+    return assign_clusters(points, k).select("sample", "prediction")

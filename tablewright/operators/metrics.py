@@ -165,10 +165,10 @@ def multiclass_confusion(
 def multiclass_metrics(
     confusion: DataFrame, label: str = "label", prediction: str = "prediction", by: Sequence[str] = ()
 ) -> DataFrame:
-    """(class, precision, recall, f1, accuracy) from confusion cells.
+    """(class, is_total, precision, recall, f1, accuracy) from confusion cells.
 
     Each cell adds to its true class and to its predicted class, so one grouping gives
-    both margins; accuracy covers all classes and stands on the row named 'all'.
+    both margins; accuracy covers all classes and stands on a row of its own without a class.
     """
     hit = F.col(label) == F.col(prediction)
     zero = F.lit(0).cast("bigint")
@@ -191,6 +191,7 @@ def multiclass_metrics(
     rows = per_class.select(
         *by,
         "class",
+        F.lit(False).alias("is_total"),
         ratio(hits, guessed).alias("precision"),
         ratio(hits, actual).alias("recall"),
         ratio(F.lit(2.0) * hits, actual + guessed).alias("f1"),
@@ -201,7 +202,7 @@ def multiclass_metrics(
     whole = (
         confusion.groupBy(*by)
         .agg(ratio(right, F.sum("n").cast("double")).alias("accuracy"))
-        .withColumns({"class": F.lit("all"), "precision": none, "recall": none, "f1": none})
+        .withColumns({"class": F.lit(None).cast("string"), "is_total": F.lit(True), "precision": none, "recall": none, "f1": none})
     )
     return rows.unionByName(whole)
 

@@ -86,21 +86,18 @@ def keyed_join(left: DataFrame, right: DataFrame, on: str | list[str], how: str
     return left.join(right, on, how)
 
 
-def complete_grid(left: DataFrame, right: DataFrame, limit: int = 1000) -> DataFrame:
-    """Every pairing of two small tables whose sizes are counted first.
-
-    Reading one row past ``limit`` is enough to refuse a table that has grown.
-    """
-    for side in (left, right):
-        if side.limit(limit + 1).count() > limit:
-            raise ValueError(f"more than {limit} rows: join these tables on a key")
+def complete_grid(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Every pairing of the rows of two dimensions: the feature itself is the full grid."""
     return left.crossJoin(right)
 
 
 def lookup(
     df: DataFrame, dimension: DataFrame, on: str | list[str], column: str, default
 ) -> DataFrame:
-    """Left join that fills ``default`` where the dimension has no entry."""
+    """Left join that fills ``default`` where the dimension has no entry.
+
+    The dimension has one row per key, as ``read_panel`` gives it; repeated keys repeat rows.
+    """
     joined = df.join(dimension, on, "left")
     return joined.withColumn(column, F.coalesce(column, F.lit(default)))
 

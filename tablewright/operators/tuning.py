@@ -55,6 +55,16 @@ GRIDS: dict[str, dict[str, list]] = {
 }
 
 
+# An exact solver takes no steps, so these axes of the full grid cannot change its fit.
+_WITHOUT_EFFECT = {"linear_regress": ("maxIter", "tol")}
+
+
+def telling_axes(name: str) -> dict[str, list]:
+    """The full grid of an estimator with one value on each axis that its solver ignores."""
+    ignored = _WITHOUT_EFFECT.get(name, ())
+    return {axis: values[:1] if axis in ignored else values for axis, values in GRIDS[name].items()}
+
+
 def grid_points(axes: dict[str, Sequence]) -> list[dict]:
     """Every combination of the values on each axis."""
     return [dict(zip(axes, values)) for values in product(*axes.values())]

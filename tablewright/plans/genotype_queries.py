@@ -15,9 +15,6 @@ from tablewright.workspace import materialize
 # The range of carrier counts a variant must have.
 LOW, HIGH = 9, 11
 
-# The wider range the clustering keeps, up to one carrier per nation.
-CLUSTER_LOW, CLUSTER_HIGH = 0, 25
-
 # The variants that become matrix columns.
 VARIANTS = [f"chr1:Brand#{i}" for i in range(1, 26)]
 
@@ -173,5 +170,5 @@ def population_clusters(spark: SparkSession, d: str) -> DataFrame:
     """Samples of the chosen populations, clustered on five components of their variants."""
     chosen = panel_samples(panel(spark, d), POPULATIONS)
     calls = views.genotype(spark, d)
-    clusters = genotypes.population_clusters(calls, chosen, CLUSTER_LOW, CLUSTER_HIGH)
+    clusters = genotypes.population_clusters(calls, chosen, LOW, HIGH)
     return clusters.join(chosen, "sample").select("sample", "population", F.col("prediction").alias("cluster"))

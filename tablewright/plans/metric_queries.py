@@ -179,7 +179,8 @@ def multiclass_confusion(spark: SparkSession, d: str) -> DataFrame:
 def multiclass_metrics(spark: SparkSession, d: str) -> DataFrame:
     per_class = metrics.multiclass_metrics(metrics.multiclass_confusion(views.language_guesses(spark, d)))
     return per_class.select(
-        "class", *[rounded(c).alias(c) for c in ("precision", "recall", "f1", "accuracy")]
+        F.when(F.col("is_total"), "all").otherwise(F.col("class")).alias("class"),
+        *[rounded(c).alias(c) for c in ("precision", "recall", "f1", "accuracy")]
     )
 
 

@@ -100,8 +100,9 @@ _NB = """, s AS (SELECT lang AS class, CAST(count(*) AS DOUBLE) AS n, sum(n_spac
 
 def fit_naive_bayes(spark: SparkSession, d: str):
     """(model, class names, rows) of the language model over two character counts."""
-    docs = views.doc_features(spark, d).select("lang", *NB_FEATURES)
-    index = features.indexers(docs, ["lang"]).fit(docs)
+    # Written once: the indexer, the fit and the scores all pass over these numbers.
+    docs = materialize(views.doc_features(spark, d).select("lang", *NB_FEATURES), "language-counts")
+    index = features.indexers(["lang"]).fit(docs)
     indexed = index.transform(docs).withColumnRenamed("idx_lang", "label")
     rows = features.assemble(indexed, NB_FEATURES).select("lang", "label", "features")
     return estimators.make("naive_bayes_classify").fit(rows), index.labelsArray[0], rows
@@ -208,7 +209,7 @@ def linear_svm_classify(spark: SparkSession, d: str) -> DataFrame:
 
 @query("gbt_classify")
 def gbt_classify(spark: SparkSession, d: str) -> DataFrame:
-    return score_documents(spark, d, "gbt_classify", maxIter=10)
+    return score_documents(spark, d, "gbt_classify")
 
 
 @query("rf_classify")
@@ -223,7 +224,7 @@ def dtree_regress(spark: SparkSession, d: str) -> DataFrame:
 
 @query("gbt_regress")
 def gbt_regress(spark: SparkSession, d: str) -> DataFrame:
-    return score_lines(spark, d, "gbt_regress", maxIter=10)
+    return score_lines(spark, d, "gbt_regress")
 
 
 @query("rf_regress")
@@ -271,10 +272,12 @@ def mlp_param_counts(spark: SparkSession, d: str) -> DataFrame:
 @query("pipeline_predict")
 def pipeline_predict(spark: SparkSession, d: str) -> DataFrame:
     """Index the language, assemble, classify: one pipeline, applied to the held-out part."""
-    docs = views.doc_features(spark, d).withColumn("label", F.col("quality").cast("double"))
+    docs = views.doc_features(spark, d).select("doc_id", "lang", *DOC_FEATURES, F.col("quality").cast("double").alias("label"))
+    # The numbers are written once: the text is not read again for the indexer, the fit and the scores.
+    docs = materialize(docs, "doc-features")
     train, test = sampling.train_test(docs, ["doc_id"], TRAIN_WEIGHT, SEED)
     stages = [
-        features.indexers(train, ["lang"], invalid="keep"),
+        features.indexers(["lang"], invalid="keep"),
         VectorAssembler(inputCols=[*DOC_FEATURES, "idx_lang"], outputCol="features"),
         estimators.make("logistic_classify"),
     ]
@@ -310,18 +313,13 @@ def param_grid(spark: SparkSession, d: str) -> DataFrame:
     return tuning.score_grid(views.doc_features(spark, d), tuning.grid_points(RULE_GRID), correct)
 
 
-# The grid and folds of the registered search; the full grids are in tuning.GRIDS.
-SEARCH_GRID, SEARCH_FOLDS = {"impurity": ["gini", "entropy"], "maxDepth": [3, 5]}, 3
-
-
 def search_trees(spark: SparkSession, d: str):
     return tuning.cross_validate(
         doc_rows(spark, d),
         ["doc_id"],
         estimators.make("dtree_classify"),
         BinaryClassificationEvaluator(),
-        SEARCH_GRID,
-        folds=SEARCH_FOLDS,
+        tuning.GRIDS["dtree_classify"],
     )
 
 
@@ -389,13 +387,8 @@ def rated_pairs(spark: SparkSession, d: str) -> DataFrame:
 def als_fit_predict(spark: SparkSession, d: str) -> DataFrame:
     """Fit on a keyed share of the pairs, report the error on both shares."""
     keys = ["user_id", "item_id"]
-    train, test = sampling.train_test(rated_pairs(spark, d), keys, TRAIN_WEIGHT, SEED)
-    fitted = recommend.fit_recommender(train)
-    rows = [
-        recommend.recommender_rmse(fitted, part).select(F.lit(name).alias("split"), "n", "rmse")
-        for name, part in (("train", train), ("test", test))
-    ]
-    return rows[0].unionByName(rows[1])
+    weights = [("train", TRAIN_WEIGHT), ("test", 1 - TRAIN_WEIGHT)]
+    return recommend.split_rmse(sampling.hash_split(rated_pairs(spark, d), keys, weights, SEED))
 
 
 @query("als_top_items")
@@ -410,11 +403,25 @@ def als_top_items(spark: SparkSession, d: str) -> DataFrame:
 NEW_USER = "300000"
 
 
+def favourites(pairs: DataFrame) -> DataFrame:
+    """The highest rating from the new user for each of the ten most-rated items."""
+    known = pairs.groupBy("item_id").agg(F.count("*").alias("n"))
+    best = known.orderBy(F.desc("n"), "item_id").limit(10)
+    return best.select(F.lit(NEW_USER).alias("user_id"), "item_id", F.lit(10.0).alias("rating"))
+
+
+@query("als_new_user_rmse")
+def als_new_user_rmse(spark: SparkSession, d: str) -> DataFrame:
+    """The error on both shares of the pairs after the new user's ratings joined the training share."""
+    weights = [("train", TRAIN_WEIGHT), ("test", 1 - TRAIN_WEIGHT)]
+    pairs = rated_pairs(spark, d)
+    split = sampling.hash_split(pairs, ["user_id", "item_id"], weights, SEED)
+    new = favourites(pairs).withColumn("split", F.lit("train"))
+    return recommend.split_rmse(split.unionByName(new))
+
+
 @query("als_new_user")
 def als_new_user(spark: SparkSession, d: str) -> DataFrame:
     """Ten items for a new user who gave the ten most-rated items the highest rating."""
     pairs = rated_pairs(spark, d)
-    known = pairs.groupBy("item_id").agg(F.count("*").alias("n"))
-    favourites = known.orderBy(F.desc("n"), "item_id").limit(10)
-    new_pairs = favourites.select(F.lit(NEW_USER).alias("user_id"), "item_id", F.lit(10.0).alias("rating"))
-    return recommend.fold_in_user(spark, pairs, new_pairs, 10)
+    return recommend.fold_in_user(spark, pairs, favourites(pairs), 10)

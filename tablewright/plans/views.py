@@ -171,13 +171,13 @@ def language_guesses(spark: SparkSession, sf_dir: str) -> DataFrame:
 def register(spark: SparkSession, sf_dir: str) -> None:
     """Name every view for SQL text: ``spark.sql`` can then query them by these names."""
     for name, build in {
-        "user_account": customer_account,
+        "customer_account": customer_account,
         "ratings": ratings,
-        "books": items,
-        "traffic": priced_lines,
+        "items": items,
+        "priced_lines": priced_lines,
         "documents_scored": scored_documents,
         "expression": expression,
-        "genotypes": genotype,
+        "genotype": genotype,
         "user_events": user_event_matrix,
     }.items():
         build(spark, sf_dir).createOrReplaceTempView(name)

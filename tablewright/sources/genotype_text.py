@@ -13,15 +13,25 @@ HEADER_PREFIX = "#CHROM"
 
 
 def read_panel(spark: SparkSession, path: str) -> DataFrame:
-    """(sample, population) from lines split on a tab or a space; later tokens are ignored."""
+    """(sample, population) from lines split on a tab or a space; later tokens are ignored.
+
+    One row per sample: a repeated line counts once, and a sample with several populations
+    belongs to the first of them by name.  ``bad_panel_lines`` counts what is no entry.
+    """
     tokens = F.split("value", "[\t ]")
     return (
         spark.read.text(path)
         .filter(F.size(tokens) >= 2)
-        .select(tokens[0].alias("sample"), tokens[1].alias("population"))
+        .groupBy(tokens[0].alias("sample"))
+        .agg(F.min(tokens[1]).alias("population"))
     )
 
 
+def bad_panel_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(n): lines with fewer than two tokens, which ``read_panel`` leaves out."""
+    return spark.read.text(path).agg(F.count_if(F.size(F.split("value", "[\t ]")) < 2).alias("n"))
+
+
 def panel_samples(panel: DataFrame, populations: list[str]) -> DataFrame:
     """Samples that belong to one of the chosen populations."""
     return panel.filter(F.col("population").isin(populations))
@@ -89,16 +99,15 @@ def write_genotypes(calls: DataFrame, samples: list[str], path: str) -> str:
     call = (
         F.when(F.col("alt_count") == 0, "0/0").when(F.col("alt_count") == 1, "0/1").otherwise("1/1")
     )
-    wide = (
-        calls.select("contig", "pos", "sample", call.alias("call"))
-        .groupBy("contig", "pos")
-        .pivot("sample", samples)
-        .agg(F.first("call"))
+    # A record gathers its calls as one map, so the plan does not widen with the samples.
+    wide = calls.groupBy("contig", "pos").agg(
+        F.map_from_entries(F.array_distinct(F.collect_list(F.struct("sample", call.alias("call"))))).alias("calls")
     )
-    cells = [F.coalesce(F.col(f"`{s}`"), F.lit("./.")) for s in samples]
+    names = F.split(F.lit("\t".join(samples)), "\t")
+    cells = F.transform(names, lambda s: F.coalesce(F.try_element_at("calls", s), F.lit("./.")))
     fixed = [F.lit(v) for v in (".", "A", "T", ".", ".", ".", "GT")]
     records = wide.select(
-        F.concat_ws("\t", "contig", F.col("pos").cast("string"), *fixed, *cells).alias("value")
+        F.concat_ws("\t", "contig", F.col("pos").cast("string"), *fixed, F.array_join(cells, "\t")).alias("value")
     )
     head = [(META_PREFIX + "fileformat=VCFv4.2",), ("\t".join([*FIXED_COLUMNS, *samples]),)]
     spark.createDataFrame(head, "value string").coalesce(1).write.text(path)

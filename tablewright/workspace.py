@@ -12,16 +12,10 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
-# A partition this many times an even share per core is worth splitting, once it has
-# enough rows for the move to pay off.
-MAX_SHARE = 3
-MIN_ROWS_TO_MOVE = 20_000
-ROWS_PER_PARTITION = 1_000_000
-
 _local_root: str | None = None
 
 
@@ -53,33 +47,20 @@ def kept(df: DataFrame, spread_by: list[str] | None = None) -> Iterator[DataFram
     """``df`` held in memory and on disk while a fit passes over it several times.
 
     Nothing depends on the stored copy: a share lost with its executor is computed again.
-    With ``spread_by``, a unique key, rows are moved once if their partitions turn out so
-    uneven that one task would slow down every pass; even partitions stay as they are.
+    With ``spread_by``, a unique key, rows are laid out by that key in as many partitions as
+    the session shuffles to, and sorted inside them, before the one copy is stored.  Fits that
+    draw by position then see the same layout whatever the table size or the cores.
     """
+    if spread_by:
+        width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        df = df.repartition(width, *spread_by).sortWithinPartitions(*spread_by)
     stored = df.persist(StorageLevel.MEMORY_AND_DISK)
-    used = stored
-    width = _wanted_partitions(stored) if spread_by else None
-    if width:
-        used = stored.repartition(width, *spread_by).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        yield used
+        yield stored
     finally:
-        used.unpersist()
         stored.unpersist()
 
 
-def _wanted_partitions(df: DataFrame) -> int | None:
-    """How many partitions to move to if the largest is far above an even share per core."""
-    sizes = df.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n"))
-    worst = sizes.agg(F.max("n").alias("worst"), F.sum("n").alias("total")).first()
-    if worst.worst is None or worst.worst < MIN_ROWS_TO_MOVE:
-        return None
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if worst.worst * cores <= MAX_SHARE * worst.total:
-        return None
-    return max(cores, worst.total // ROWS_PER_PARTITION)
-
-
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as parquet in the scratch folder and read it back.
 

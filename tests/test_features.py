@@ -8,15 +8,10 @@ from pyspark.ml.feature import StringIndexer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
-from tablewright.operators import features
+from tablewright.operators import clustering, features
 from tablewright.sources.delimited import literal_rows
 
-# Three six-element vectors used to show a projection.
-VECTORS = [
-    [3.5, 2.0, 5.0, 6.3, 5.60, 2.4],
-    [4.40, 0.10, 3.0, 9.0, 7.0, 8.75],
-    [3.20, 2.40, 0.0, 6.0, 7.4, 3.34],
-]
+VECTORS = np.random.default_rng(17).normal(size=(5, 6)).tolist()
 
 
 @pytest.fixture(scope="module")
@@ -58,11 +53,20 @@ def test_feature_pipeline(spark):
     assert [list(r.features) for r in out.orderBy("x").collect()] == [[1, 0], [2, 1], [3, 0]]
 
 
-def test_indexers_refuse_a_large_vocabulary(spark):
-    df = spark.range(50).selectExpr("cast(id as string) AS p", "'a' AS q")
-    with pytest.raises(ValueError, match="label_index"):
-        features.indexers(df, ["p", "q"], limit=49)
-    assert features.indexers(df, ["p", "q"], limit=50).getOutputCols() == ["idx_p", "idx_q"]
+def test_shared_indices_of_several_columns(spark):
+    df = spark.range(50).selectExpr("cast(id % 7 as string) AS p", "cast(id % 3 as string) AS q")
+    index = features.label_index(df, ["p", "q"])
+    own = features.apply_label_indices(df, index, ["p", "q"])
+    assert own.columns[-2:] == ["idx_p", "idx_q"] and own.where("idx_p is null or idx_q is null").count() == 0
+    spark_own = features.indexers(["p", "q"]).fit(df).transform(df)
+    assert sorted(own.select("p", "q", "idx_p", "idx_q").collect()) == sorted(spark_own.collect())
+
+
+def test_ragged_and_null_arrays_fail(spark):
+    for rows in ([[0.0], [1.0, 2.0, 3.0]], [[1.0, 2.0], [1.0, None]]):
+        df = spark.createDataFrame([(r,) for r in rows], "v array<double>").coalesce(1)
+        with pytest.raises(Exception, match="every array must have 2 numbers"):
+            clustering.assign_nearest(df, "v", np.zeros((1, 2))).collect()
 
 
 def test_assemble_and_take_apart(spark):
@@ -87,8 +91,8 @@ def test_principal_components_up_to_sign(spark):
     data = np.array(VECTORS)
     _, _, vt = np.linalg.svd(data - data.mean(axis=0))
     for r in out:
-        want = np.array(r.v) @ vt[:2].T
-        assert np.allclose(np.abs(r.p[:2]), np.abs(want), atol=1e-8)
+        want = np.array(r.v) @ vt[:4].T
+        assert np.allclose(np.abs(r.p), np.abs(want), atol=1e-8)
         assert len(r.p) == 4
 
 

@@ -1,9 +1,12 @@
 from __future__ import annotations
 
+import numpy as np
 import pytest
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from tablewright.operators import genotypes
+from tablewright.operators.features import fit_pca
 from tablewright.sources import genotype_text
 from tablewright.workspace import scratch_path
 
@@ -38,9 +41,10 @@ def test_files_with_different_samples_are_refused(spark):
 
 def test_panel_lines_split_on_tab_or_space(spark):
     path = scratch_path(spark, "panel")
-    spark.createDataFrame([("s1\tGBR\tEUR",), ("s2 MXL",), ("broken",)], "value string").write.text(path)
+    spark.createDataFrame([("s1\tGBR\tEUR",), ("s2 MXL",), ("s1\tGBR",), ("s2\tZZZ",), ("broken",)], "value string").write.text(path)
     panel = genotype_text.read_panel(spark, path)
-    assert {tuple(r) for r in panel.collect()} == {("s1", "GBR"), ("s2", "MXL")}
+    assert sorted(map(tuple, panel.collect())) == [("s1", "GBR"), ("s2", "MXL")]
+    assert genotype_text.bad_panel_lines(spark, path).first().n == 1
     assert [r["sample"] for r in genotype_text.panel_samples(panel, ["MXL"]).collect()] == ["s2"]
 
 
@@ -78,16 +82,28 @@ def test_vectors_in_blocks(calls, width):
         want = [float((s + v) % 3) for v in range(10)]
         if s == 2:
             want[3] = 0.0
-        if width == 1:
-            got = [blocks.get(b, [0.0])[0] for b in range(10)]
-        else:
-            got = [x for b in sorted(blocks) for x in blocks[b]]
-        assert got == want
+        assert [x for b in sorted(blocks) for x in blocks[b]] == want
 
 
 def test_matrix_has_null_where_a_call_is_missing(calls):
-    m = genotypes.variant_matrix(calls, ["v3", "v4"]).where(F.col("sample") == "s2").first()
-    assert m.v3 is None and m.v4 == 0
+    header = genotypes.variant_header(calls, 10)
+    m = genotypes.variant_matrix(calls, header).where(F.col("sample") == "s2").first()
+    assert header == [f"v{v}" for v in range(10)] and m.v3 is None and m.v4 == 0
+    with pytest.raises(Exception, match="not in the header"):
+        genotypes.variant_matrix(calls, ["v3", "v4"]).collect()
+    with pytest.raises(ValueError, match="variant_vectors"):
+        genotypes.variant_header(calls, 9)
+
+
+@pytest.mark.parametrize("width", [65_535, 3])
+def test_components_between_samples_are_those_of_the_variants(spark, calls, width):
+    got = {r["sample"]: r.pcs for r in genotypes.sample_components(genotypes.variant_vectors(calls, width), 3).collect()}
+    whole = genotypes.variant_vectors(calls).select("sample", array_to_vector("counts").alias("features"))
+    rows = fit_pca(whole, 3).transform(whole).select("sample", vector_to_array("pcs").alias("p")).collect()
+    names = [r["sample"] for r in rows]
+    want = np.array([r.p for r in rows])
+    want = want - want.mean(axis=0)
+    assert np.allclose(np.abs([got[n] for n in names]), np.abs(want), atol=1e-6)
 
 
 def test_population_clusters(spark, many_blocks):
@@ -97,5 +113,4 @@ def test_population_clusters(spark, many_blocks):
     found = {r["sample"]: r.prediction for r in genotypes.population_clusters(calls, samples, 1, 11).collect()}
     assert len(found) == 12
     assert len({found[f"s{s}"] for s in range(6)}) == 1 and found["s0"] != found["s11"]
-    with pytest.raises(ValueError, match="carrier count"):
-        genotypes.population_clusters(calls, samples, 100, 200)
+    assert genotypes.population_clusters(calls, samples, 100, 200).count() == 0

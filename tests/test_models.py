@@ -68,17 +68,30 @@ def test_network_and_its_parameter_count(spark, sep2):
     assert sum(n for _, n in estimators.layer_parameter_counts([64, 16, 10])) == 1210
 
 
-def test_lopsided_rows_are_spread_without_loss(spark, monkeypatch):
+def test_kept_rows_lie_the_same_however_they_came(spark):
     from tablewright import workspace
 
-    monkeypatch.setattr(workspace, "MIN_ROWS_TO_MOVE", 100)
-    rows = spark.range(0, 5000).coalesce(1)
-    with workspace.kept(rows, spread_by=["id"]) as spread:
-        assert spread.rdd.getNumPartitions() > 1
-        assert spread.distinct().count() == 5000
-    even = spark.range(0, 5000, numPartitions=8)
-    with workspace.kept(even, spread_by=["id"]) as same:
-        assert same.rdd.getNumPartitions() == 8
+    def layout(df):
+        with workspace.kept(df, spread_by=["id"]) as rows:
+            return [list(map(tuple, p)) for p in rows.rdd.glom().collect()]
+
+    found = layout(spark.range(0, 5000).coalesce(1))
+    assert found == layout(spark.range(0, 5000, numPartitions=13)) and len(found) > 1
+
+
+def test_an_estimator_that_draws_needs_a_seed(spark, lin):
+    for name in ("dtree_regress", "gbt_regress", "rf_regress"):
+        assert estimators.make(name).getSeed() == 1234567
+    fits = [estimators.make("rf_regress", numTrees=3).fit(lin).toDebugString.split("\n", 1)[1] for _ in range(2)]
+    assert fits[0] == fits[1]
+
+
+def test_a_class_named_all_is_a_class(spark):
+    from tablewright.operators import metrics
+
+    df = spark.createDataFrame([("all", "all"), ("all", "b"), ("b", "b")], "label string, prediction string")
+    got = metrics.multiclass_metrics(metrics.multiclass_confusion(df)).collect()
+    assert {(r["class"], r.is_total) for r in got} == {("all", False), ("b", False), (None, True)}
 
 
 def test_saved_model_predicts_the_same(spark, lin):
