@@ -128,22 +128,28 @@ def find_windows(df: DataFrame, benchmark: DataFrame, window: int = WINDOW, bloc
         rows_with = document_frequencies(df, block)
         shared = spark.sparkContext.broadcast(window_index(block, rows_with, window))
         hits.append(_block_hits(shared)("text"))
-    if not hits:
-        hits.append(_block_hits(None)("text"))
+    if len(hits) < 2:
+        # The usual case: one block's hits are all there are.
+        found = df.withColumn("__of", _block_hits(shared if hits else None, True)("text"))
+        return found.select(*df.columns, "__of.*")
     found = df.withColumn("__hits", F.array(*hits))
     return found.withColumn("__of", _united("__hits")).select(*df.columns, "__of.*")
 
 
-def _block_hits(shared):
-    @F.arrow_udf(HITS)
+def _block_hits(shared, alone: bool = False):
+    """Per row the HITS of one block, or, if it is the only one, their UNITED form."""
+    kind = UNITED if alone else HITS
+
+    @F.arrow_udf(kind)
     def block_hits(texts: pa.Array) -> pa.Array:
         index = shared.value if shared is not None else {}
         rows = []
         for text in utf8(texts):
             words = folded_words(text)
             spans, items = hits_of(words, index)
-            rows.append({"n_words": len(words), "spans": spans, "items": sorted(items)})
-        return pa.array(rows, to_arrow_type(HITS))
+            row = {"n_words": len(words), "items": sorted(items)}
+            rows.append(row | ({"n_hit": _covered(spans)} if alone else {"spans": spans}))
+        return pa.array(rows, to_arrow_type(kind))
 
     return block_hits
 

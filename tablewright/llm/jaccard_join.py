@@ -29,7 +29,7 @@ THRESHOLD = 0.8
 TREES, DEPTH = 16, 6
 RECALL = 0.9999
 #: Texts of a block; two blocks meet in one unit of work.
-BLOCK = 384
+BLOCK = 256
 #: Bits of the filter that tells texts of no group apart; its size does not depend on the data.
 FILTER_BITS = 2**26
 #: Signatures that agree this many standard deviations less than expected at the threshold part.
@@ -83,12 +83,6 @@ def _signer(depth: int):
     return sign
 
 
-@F.arrow_udf(T.BinaryType())
-def _keys(texts: pa.Array) -> pa.Array:
-    found = (folded_words(t) for t in utf8(texts))
-    return pa.array([text_key(w) if w else None for w in found], pa.binary())
-
-
 def _block_pairs(df: DataFrame, group: str, size: Column) -> DataFrame:
     """Each row once for every pair of blocks that its own block is in."""
     blocks = F.greatest(F.lit(1), F.ceil(size / BLOCK)).cast("int")
@@ -306,15 +300,16 @@ def keep_one(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECA
     several = materialize(texts.where("class_rows > 1").select("key", "class_key", "class_id"), "several")
     may_hold = KeyFilter(several).test()
 
-    @F.arrow_udf("boolean")
-    def in_several(keys: pa.Array) -> pa.Array:
-        return pa.array([k is not None and may_hold(k) for k in keys.to_pylist()], pa.bool_())
+    @F.arrow_udf(T.BinaryType())
+    def asked_key(texts: pa.Array) -> pa.Array:
+        """The key of a text that may be in a class of several rows, else null."""
+        keys = (text_key(w) if w else None for w in map(folded_words, utf8(texts)))
+        return pa.array([k if k is not None and may_hold(k) else None for k in keys], pa.binary())
 
     text = F.col("text").cast("string")
-    rows = docs.select(F.struct("*").alias(CARRIED), "doc_id", text.alias("text"), _keys(text).alias("key"))
-    rows = rows.withColumn("asked", in_several("key"))
+    rows = docs.select(F.struct("*").alias(CARRIED), "doc_id", text.alias("text"), asked_key(text).alias("key"))
     # A row the filter lets through by chance meets no class and stays.
-    asked = rows.where("asked").join(several, "key", "left")
+    asked = rows.where("key is not null").join(several, "key", "left")
     alone = asked.where("class_key is null").select(CARRIED)
     firsts = (
         asked.where("class_key is not null and doc_id <=> class_id")
@@ -322,4 +317,4 @@ def keep_one(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECA
         .agg(F.min_by(CARRIED, F.struct("key", "text")).alias(CARRIED))
         .select(CARRIED)
     )
-    return uncarry(rows.where("not asked").select(CARRIED).unionByName(alone).unionByName(firsts))
+    return uncarry(rows.where("key is null").select(CARRIED).unionByName(alone).unionByName(firsts))

@@ -36,8 +36,8 @@ LEAST_COVER = 0.01
 FLOOR = 0.25
 LONGEST_UNIT = 24
 SHORT, RUN = 2, 3
-REMEMBERED = 500_000
-TEXTS_AT_ONCE = 1000
+REMEMBERED = 250_000
+TEXTS_AT_ONCE = 500
 REGULARISATION = 0.0001
 
 KEPT_BYTES = set(LOWER) | {b for b in WORD_BYTES if b >= 0x80} | set(b" \t\n\r\x0b\x0c")
