@@ -109,6 +109,16 @@ class UnitMemory:
         return out
 
 
+_remembered: list[UnitMemory] = []
+
+
+def unit_memory(landmarks: list[bytes]) -> UnitMemory:
+    """The one memory of this worker process, kept over its tasks while the landmarks are the same."""
+    if not _remembered or _remembered[0].landmarks.landmarks != landmarks:
+        _remembered[:] = [UnitMemory(landmarks)]
+    return _remembered[0]
+
+
 def _word_counts(sample: DataFrame) -> DataFrame:
     """(word, toxic, clean): sampled texts of each class that have the unit."""
 
@@ -194,13 +204,10 @@ def choose_landmarks(sample: DataFrame, n_toxic: int, n_clean: int) -> list[byte
 
 
 def _vector_udf(shared):
-    held: list[UnitMemory] = []
-
     @F.arrow_udf("array<double>")
     def vectors(texts: pa.Array) -> pa.Array:
-        if not held:
-            held.append(UnitMemory(shared.value))
-        return pa.array(list(held[0].vectors(texts.to_pylist())), pa.list_(pa.float64()))
+        found = unit_memory(shared.value).vectors(texts.to_pylist())
+        return pa.array(list(found), pa.list_(pa.float64()))
 
     return vectors
 
@@ -247,13 +254,10 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, bound: int = SAMPLE_ROWS) -
 def add_toxicity(rows: DataFrame, model: ToxicityModel) -> DataFrame:
     """``rows`` (text and anything else) plus score."""
     shared = rows.sparkSession.sparkContext.broadcast(model)
-    held: list[UnitMemory] = []
-
     @F.arrow_udf("double")
     def score(texts: pa.Array) -> pa.Array:
-        if not held:
-            held.append(UnitMemory(shared.value.landmarks))
-        return pa.array(shared.value.score(held[0].vectors(texts.to_pylist())), pa.float64())
+        found = unit_memory(shared.value.landmarks).vectors(texts.to_pylist())
+        return pa.array(shared.value.score(found), pa.float64())
 
     return rows.withColumn("score", score("text"))
 
