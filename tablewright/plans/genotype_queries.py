@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tablewright.operators import genotypes, relational
+from tablewright.operators import clustering, genotypes, relational
 from tablewright.plans import views
 from tablewright.plans.oracle_views import over
 from tablewright.plans.registry import query
@@ -15,6 +15,9 @@ from tablewright.workspace import materialize
 # The range of carrier counts a variant must have.
 LOW, HIGH = 9, 11
 
+# The clustering leaves out variants that no sample or about every second one carries.
+CLUSTER_LOW, CLUSTER_HIGH = 1, 7
+
 # The variants that become matrix columns.
 VARIANTS = [f"chr1:Brand#{i}" for i in range(1, 26)]
 
@@ -165,10 +168,22 @@ def variant_vectors(spark: SparkSession, d: str) -> DataFrame:
     return vectors.select("sample", "block", F.array_join(text, ",").alias("counts"))
 
 
+@query("population_sweep")
+def population_sweep(spark: SparkSession, d: str) -> DataFrame:
+    """(k, cost, silhouette) on the components of the samples' variants."""
+    chosen = panel_samples(panel(spark, d), POPULATIONS)
+    points = genotypes.sample_points(views.genotype(spark, d), chosen, CLUSTER_LOW, CLUSTER_HIGH)
+    points = materialize(points, "sample-points")
+    # A silhouette needs fewer clusters than points.
+    most = points.count() - 1
+    ks = [k for k in clustering.SWEEP if k <= most]
+    return clustering.sweep_clusters(points, ks, spread_by=["sample"])
+
+
 @query("population_clusters")
 def population_clusters(spark: SparkSession, d: str) -> DataFrame:
     """Samples of the chosen populations, clustered on five components of their variants."""
     chosen = panel_samples(panel(spark, d), POPULATIONS)
     calls = views.genotype(spark, d)
-    clusters = genotypes.population_clusters(calls, chosen, LOW, HIGH)
+    clusters = genotypes.population_clusters(calls, chosen, CLUSTER_LOW, CLUSTER_HIGH)
     return clusters.join(chosen, "sample").select("sample", "population", F.col("prediction").alias("cluster"))

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import lru_cache
 
 from pyspark.ml import Pipeline
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -16,7 +17,8 @@ from tablewright.plans import views
 from tablewright.plans.feature_queries import LINE_FEATURES
 from tablewright.plans.oracle_views import over
 from tablewright.plans.registry import query
-from tablewright.workspace import kept, materialize
+from tablewright.sources import models
+from tablewright.workspace import kept, materialize, scratch_path
 
 DOC_FEATURES = ["n_chars", "n_spaces", "n_periods", "e_ratio"]
 SEED = 12345
@@ -313,6 +315,7 @@ def param_grid(spark: SparkSession, d: str) -> DataFrame:
     return tuning.score_grid(views.doc_features(spark, d), tuning.grid_points(RULE_GRID), correct)
 
 
+@lru_cache(maxsize=1)
 def search_trees(spark: SparkSession, d: str):
     return tuning.cross_validate(
         doc_rows(spark, d),
@@ -333,6 +336,24 @@ def best_params(spark: SparkSession, d: str) -> DataFrame:
     return tuning.best_param_rows(spark, search_trees(spark, d))
 
 
+@query(
+    "tuned_model_roundtrip",
+    over("priced_lines", "SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_different FROM priced_lines"),
+)
+def tuned_model_roundtrip(spark: SparkSession, d: str) -> DataFrame:
+    """Rows whose prediction changes after the model of a whole search is saved and loaded back."""
+    rows = line_rows(spark, d, ["l_quantity", "l_discount"])
+    keys = ["l_orderkey", "l_linenumber"]
+    search = tuning.cross_validate(
+        rows, keys, estimators.make("linear_regress"), RegressionEvaluator(), tuning.telling_axes("linear_regress")
+    )
+    again = models.reload_model(search, models.save_model(search, scratch_path(spark, "tuned-model")))
+    reloaded = again.bestModel.setPredictionCol("reloaded")
+    both = reloaded.transform(search.bestModel.transform(rows.select("features")))
+    different = F.count_if(F.col("prediction") != F.col("reloaded"))
+    return both.agg(F.count("*").alias("n_rows"), different.alias("n_different"))
+
+
 def fit_tree(spark: SparkSession, d: str):
     with kept(doc_rows(spark, d).select("label", "features")) as rows:
         return estimators.make("dtree_classify", maxDepth=5).fit(rows)

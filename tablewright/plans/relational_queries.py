@@ -95,6 +95,16 @@ def select_by_pattern(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@query(
+    "rename_strings_by_pattern",
+    over("customer_account", "SELECT nation, plan AS idx_plan, churn AS idx_churn FROM customer_account"),
+)
+def rename_strings_by_pattern(spark: SparkSession, d: str) -> DataFrame:
+    """Columns chosen by name, the string columns among them under their indexed names."""
+    accounts = views.customer_account(spark, d)
+    return accounts.select(relational.matching_columns(accounts, "nation|plan|churn", string_prefix="idx_"))
+
+
 @query(
     "cast_columns",
     over(
