@@ -51,6 +51,21 @@ def filter_by_frequency(calls: DataFrame, low: int, high: int) -> DataFrame:
     return calls.join(kept.select("variant"), "variant", "left_semi")
 
 
+def varying_calls(calls: DataFrame) -> DataFrame:
+    """Calls of fully called variants whose counts differ between samples.
+
+    A variant that some samples carry and others do not always stays; one that every sample
+    carries stays if the counts differ.  This depends on no number of samples or calls.
+    """
+    once = calls.groupBy("variant", "sample").agg(F.max("alt_count").alias("alt_count"))
+    kept = (
+        once.groupBy("variant")
+        .agg(F.count("sample").alias("n_samples"), F.min("alt_count").alias("least"), F.max("alt_count").alias("most"))
+        .where((F.col("n_samples") == sample_count(calls).scalar()) & (F.col("least") < F.col("most")))
+    )
+    return calls.join(kept.select("variant"), "variant", "left_semi")
+
+
 def variant_matrix(calls: DataFrame, variants: Sequence[str]) -> DataFrame:
     """One row per sample and one integer column per variant of a stated list.
 
@@ -146,23 +161,39 @@ def sample_components(vectors: DataFrame, components: int) -> DataFrame:
     return vectors.sparkSession.createDataFrame(rows, "sample string, pcs array<double>")
 
 
-def sample_points(calls: DataFrame, samples: DataFrame, low: int, high: int, components: int = 5) -> DataFrame:
+def sample_points(
+    calls: DataFrame, samples: DataFrame, low: int | None = None, high: int | None = None, components: int = 5
+) -> DataFrame:
     """(sample, features): restrict, filter, build vectors, take the components.
 
-    Each reduced table is written once, so the calls are read and joined a single time.
+    Without a range of carrier counts, the variants whose counts differ between the samples are
+    taken, and it is an error if there are none.  Each reduced table is written once, so the
+    calls are read and joined a single time.
     """
     panel_calls = materialize(semi_join_panel(calls, samples), "panel-calls")
-    chosen = materialize(filter_by_frequency(panel_calls, low, high), "chosen-calls")
+    whole = low is None and high is None
+    if not whole and (low is None or high is None):
+        raise ValueError("a range of carrier counts has two ends")
+    chosen = varying_calls(panel_calls) if whole else filter_by_frequency(panel_calls, low, high)
+    chosen = materialize(chosen, "chosen-calls")
+    if whole and chosen.isEmpty():
+        raise ValueError("no fully called variant differs between the samples")
     points = sample_components(materialize(variant_vectors(chosen), "sample-vectors"), components)
     return points.select("sample", array_to_vector("pcs").alias("features"))
 
 
 def population_clusters(
-    calls: DataFrame, samples: DataFrame, low: int, high: int, components: int = 5, k: int = 2
+    calls: DataFrame,
+    samples: DataFrame,
+    low: int | None = None,
+    high: int | None = None,
+    components: int = 5,
+    k: int = 2,
 ) -> DataFrame:
     """(sample, prediction): the samples clustered on the components of their variants.
 
-    No sample is left where no variant has a carrier count in the range; the result is empty.
+    With a range of carrier counts that no variant lies in, no sample is left and the result is
+    empty; without a range see ``sample_points``.
     """
     points = sample_points(calls, samples, low, high, components)
     if points.isEmpty():

@@ -15,9 +15,6 @@ from tablewright.workspace import materialize
 # The range of carrier counts a variant must have.
 LOW, HIGH = 9, 11
 
-# The clustering leaves out variants that no sample or about every second one carries.
-CLUSTER_LOW, CLUSTER_HIGH = 1, 7
-
 # The variants that become matrix columns.
 VARIANTS = [f"chr1:Brand#{i}" for i in range(1, 26)]
 
@@ -172,7 +169,7 @@ def variant_vectors(spark: SparkSession, d: str) -> DataFrame:
 def population_sweep(spark: SparkSession, d: str) -> DataFrame:
     """(k, cost, silhouette) on the components of the samples' variants."""
     chosen = panel_samples(panel(spark, d), POPULATIONS)
-    points = genotypes.sample_points(views.genotype(spark, d), chosen, CLUSTER_LOW, CLUSTER_HIGH)
+    points = genotypes.sample_points(views.genotype(spark, d), chosen)
     points = materialize(points, "sample-points")
     # A silhouette needs fewer clusters than points.
     most = points.count() - 1
@@ -185,5 +182,5 @@ def population_clusters(spark: SparkSession, d: str) -> DataFrame:
     """Samples of the chosen populations, clustered on five components of their variants."""
     chosen = panel_samples(panel(spark, d), POPULATIONS)
     calls = views.genotype(spark, d)
-    clusters = genotypes.population_clusters(calls, chosen, CLUSTER_LOW, CLUSTER_HIGH)
+    clusters = genotypes.population_clusters(calls, chosen)
     return clusters.join(chosen, "sample").select("sample", "population", F.col("prediction").alias("cluster"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tablewright.operators import genotypes
 from tablewright.operators.features import fit_pca
+from tablewright.plans import genotype_queries
 from tablewright.sources import genotype_text
 from tablewright.workspace import scratch_path
 
@@ -114,3 +115,24 @@ def test_population_clusters(spark, many_blocks):
     assert len(found) == 12
     assert len({found[f"s{s}"] for s in range(6)}) == 1 and found["s0"] != found["s11"]
     assert genotypes.population_clusters(calls, samples, 100, 200).count() == 0
+
+
+def test_clusters_where_every_sample_carries_the_variants(spark):
+    rows = [(f"s{s}", v, n) for s in range(12) for v, n in [("all", 2), ("none", 0), ("count", 2 if s < 6 else 1), ("some", int(s < 6))]]
+    rows += [("s0", "count", 0), ("s3", "missing", 1)]
+    calls = spark.createDataFrame(rows, "sample string, variant string, alt_count int")
+    samples = calls.select("sample").distinct()
+    assert {r.variant for r in genotypes.varying_calls(calls).collect()} == {"count", "some"}
+    counted = calls.where("variant in ('all', 'count')")
+    found = {r["sample"]: r.prediction for r in genotypes.population_clusters(counted, samples).collect()}
+    assert len({found[f"s{s}"] for s in range(6)}) == 1 and found["s0"] != found["s11"] and len(found) == 12
+    with pytest.raises(ValueError, match="no fully called variant"):
+        genotypes.population_clusters(calls.where("variant in ('all', 'none')"), samples)
+
+
+@pytest.mark.parametrize(("size", "n"), [("sf0.001", 6), ("sf0.1", 15)])
+def test_population_queries_return_rows_at_every_size(spark, size, n):
+    folder = f"/root/testdata/{size}"
+    clusters = genotype_queries.population_clusters(spark, folder).collect()
+    assert len(clusters) == n and {r.cluster for r in clusters} == {0, 1}
+    assert genotype_queries.population_sweep(spark, folder).count() > 0
