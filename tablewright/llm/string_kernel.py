@@ -8,83 +8,90 @@ ORDER, DECAY = 4, 0.6
 CHUNK = 8192
 
 
-# A bit for each letter a-z; bytes beyond ASCII share the 32 bits above; padding has none.
-LETTER_BITS = np.zeros(256, dtype=np.int64)
-LETTER_BITS[97:123] = 1 << np.arange(26)
-LETTER_BITS[128:] = 1 << (26 + np.arange(128) % 32)
+#: A letter that its writer hid: it matches every letter by this much.
+MASK, MASKED = 1, 0.5
+#: The orders that short units and shortened spellings are compared by.
+LOW_ORDERS = (2, 3)
 
 
-def letter_masks(rows: np.ndarray) -> np.ndarray:
-    """The set of letters of each row of bytes."""
-    return np.bitwise_or.reduce(LETTER_BITS[rows], axis=1)
-
-
-def least_letters(landmark: bytes) -> int:
-    """Different letters of the landmark that a unit must share: all but one."""
-    return max(1, len(set(landmark)) - 1)
-
-
-def kernel(words: np.ndarray, landmark: bytes, order: int = ORDER, decay: float = DECAY) -> np.ndarray:
-    """K(word, landmark): the sum over common subsequences of ``order`` letters of ``decay`` to
-    the power of the two spans.  ``words``: rows of bytes, padded with 0 at the end."""
+def kernels(words: np.ndarray, letters: np.ndarray, order: int = ORDER, decay: float = DECAY) -> np.ndarray:
+    """K of the orders 1 to ``order``, a row each, of rows of bytes and ``letters``: a column of
+    bytes, the same for all words, or a column for each word."""
     n, length = words.shape
-    q = len(landmark)
-    letters = np.frombuffer(landmark, np.uint8)[:, None]
+    q = len(letters)
     square = np.float32(decay * decay)
     # Row j sums what ends at or before landmark letter j, each letter further back decayed.
     back = np.arange(q)[:, None] - np.arange(q)[None, :]
     fading = np.where(back >= 0, decay ** np.maximum(back, 0), 0.0).astype(np.float32)
     near = np.zeros((order, q + 1, n), dtype=np.float32)
     near[0] = 1.0
-    total = np.zeros(n, dtype=np.float32)
+    total = np.zeros((order, n), dtype=np.float32)
+    hidden = letters == MASK
     for k in range(length):
-        same = (words[:, k][None, :] == letters) * square
-        total += np.einsum("qn,qn->n", same, near[order - 1, :q])
-        ends = fading @ (same * near[: order - 1, :q])
+        word = words[:, k][None, :]
+        same = ((word == letters) & (letters != 0)).astype(np.float32)
+        if (word == MASK).any() or hidden.any():
+            half = ((word == MASK) ^ hidden) & (word != 0) & (letters != 0)
+            same = np.where(half, np.float32(MASKED), same)
+        same = same * square
+        steps = same * near[:, :q]
+        total += steps.sum(axis=1)
+        ends = fading @ steps[: order - 1]
         near[1:, 1:] *= np.float32(decay)
         near[1:, 1:] += ends
     return total
 
 
+def kernel(words: np.ndarray, landmark: bytes, order: int = ORDER, decay: float = DECAY) -> np.ndarray:
+    """K(word, landmark): the sum over common subsequences of ``order`` letters of ``decay`` to
+    the power of the two spans.  ``words``: rows of bytes, padded with 0 at the end."""
+    return kernels(words, np.frombuffer(landmark, np.uint8)[:, None], order, decay)[order - 1]
+
+
 def padded(words: list[bytes]) -> np.ndarray:
     width = max(map(len, words), default=1)
     return np.frombuffer(b"".join(w.ljust(width, b"\0") for w in words), np.uint8).reshape(len(words), width)
 
 
 class Landmarks:
-    """Similarity of units to landmarks: K(unit, landmark) / K(landmark, landmark), at most 1.
+    """Similarities of units to landmarks, two for each landmark.
 
-    A unit that holds the landmark letter by letter has 1, gaps and inserted letters lower it,
-    and a unit that lacks more than one of its different letters has 0.
+    The first is K(unit, landmark) / K(landmark, landmark), at most 1: a unit that holds the
+    landmark letter by letter has 1, gaps and inserted letters lower it.  The second is the mean
+    over LOW_ORDERS of the kernels normed by both sides, which also compares units of two or
+    three letters and spellings that lack letters.  Nothing is left out or rounded to 0.
     """
 
     def __init__(self, landmarks: list[bytes]):
         self.landmarks = landmarks
-        self.own = np.array([kernel(padded([x]), x)[0] for x in landmarks], dtype=np.float64)
-        self.masks = letter_masks(padded(landmarks))
-        self.least = [least_letters(x) for x in landmarks]
+        self.letters = [np.frombuffer(x, np.uint8)[:, None] for x in landmarks]
+        self.order = [min(ORDER, len(x)) for x in landmarks]
+        self.own = np.array([kernels(padded([x]), c)[:, 0] for x, c in zip(landmarks, self.letters)], dtype=np.float64)
 
     def gram(self) -> np.ndarray:
+        """Gram matrix of the landmarks by the normed kernels of the first similarity."""
         m = len(self.landmarks)
         out = np.eye(m)
-        for j, x in enumerate(self.landmarks):
-            column = kernel(padded(self.landmarks), x).astype(np.float64)
-            out[:, j] = column / np.sqrt(self.own * self.own[j])
+        for j, c in enumerate(self.letters):
+            p = self.order[j] - 1
+            column = kernels(padded(self.landmarks), c)[p].astype(np.float64)
+            out[:, j] = column / np.sqrt(np.maximum(self.own[:, p] * self.own[j, p], 1e-30))
         return (out + out.T) / 2
 
-    def similarities(self, units: list[bytes], floor: float) -> dict[bytes, list[tuple[int, float]]]:
-        """For the units that reach ``floor`` with a landmark: (landmark, similarity) pairs."""
-        found: dict[bytes, list[tuple[int, float]]] = {}
-        units = sorted(units, key=len)
+    def similarities(self, units: list[bytes]) -> np.ndarray:
+        """A row for each unit: its first similarities, then its second ones."""
+        m = len(self.landmarks)
+        out = np.zeros((len(units), 2 * m), dtype=np.float32)
+        order = np.array(sorted(range(len(units)), key=lambda i: len(units[i])), dtype=np.int64)
+        low = [p - 1 for p in LOW_ORDERS]
         for at in range(0, len(units), CHUNK):
-            chunk = units[at : at + CHUNK]
-            rows = padded(chunk)
-            masks = letter_masks(rows)
-            for j, x in enumerate(self.landmarks):
-                possible = np.nonzero(np.bitwise_count(masks & self.masks[j]) >= self.least[j])[0]
-                if not len(possible):
-                    continue
-                share = kernel(rows[possible], x) / self.own[j]
-                for i in np.nonzero(share >= floor)[0]:
-                    found.setdefault(chunk[possible[i]], []).append((j, min(1.0, float(share[i]))))
-        return found
+            chunk = order[at : at + CHUNK]
+            rows = padded([units[i] for i in chunk])
+            self_low = np.sqrt(kernels(rows, np.ascontiguousarray(rows.T), max(LOW_ORDERS))[low])
+            for j, c in enumerate(self.letters):
+                k = kernels(rows, c)
+                p = self.order[j] - 1
+                out[chunk, j] = np.minimum(1.0, k[p] / self.own[j, p])
+                normed = k[low] / np.maximum(self_low * np.sqrt(self.own[j, low])[:, None], 1e-12)
+                out[chunk, m + j] = np.minimum(1.0, normed.mean(axis=0))
+        return out

@@ -1,53 +1,70 @@
 """Toxicity by a subsequence-kernel support vector machine with Nystroem landmarks.
 
-A text is a set of units: its words without punctuation and digits, and runs of very short
-words joined ("i d i o t").  The landmarks are pieces of words that labelled toxic texts have
-far more often than clean ones, chosen to cover the toxic texts.  A text's similarity to a
-landmark is the largest kernel value of its units; the similarities are mapped by the inverse
-root of the landmarks' Gram matrix, beside the largest of them, and a linear machine and a
-logistic curve on its margin give the score.  Nothing but the text enters a score.
+A text is a set of units: its words without punctuation and digits, words with the hidden
+letters kept as such ("id**t"), and runs of very short words joined ("i d i o t").  The landmarks
+are pieces of words that labelled toxic texts have significantly more often than clean ones, as
+many as it takes to cover all such words.  A text's similarities to a landmark are the largest
+of its units; they are mapped by the inverse root of the landmarks' Gram matrix, beside the
+largest of them, and a linear machine and a logistic curve on its margin give the score.
+Each learnt text also counts, for half its weight, with some words spelt in other ways, so that
+the machine sees how similar masked, spaced and stretched words are to landmarks.  Nothing but
+the text enters a score.
 """
 
 from __future__ import annotations
 
 from collections import Counter
 from dataclasses import dataclass
+from math import ceil, exp, lgamma, log, log1p
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.ml.classification import LinearSVC, LogisticRegression
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import LongType
 
+from tablewright.llm import string_kernel
 from tablewright.llm.labelled import HELD_OUT_FOLD, SAMPLE_ROWS, labelled_sample
 from tablewright.llm.string_kernel import Landmarks
 from tablewright.llm.words import CARRIED, LOWER, WORD_BYTES, fold_number, uncarry
 from tablewright.workspace import kept, materialize
 
-#: Most landmarks, most words they are chosen from, and the lengths of pieces of words.
-LANDMARKS = 48
-CANDIDATES = 3000
+#: Lengths of pieces of words; a whole word may be shorter or longer.
 PIECE_LENGTHS = range(4, 11)
+SHORTEST = 3
 #: A candidate is this many times as frequent in toxic texts as in clean ones.
 LEAST_RATIO = 8.0
-#: A landmark covers at least this share of the toxic texts anew.
-LEAST_COVER = 0.01
-#: Kernel similarities below this count as none.
-FLOOR = 0.25
+#: Share of false discoveries among the words taken as typical of toxic texts.
+FALSE_DISCOVERIES = 0.01
 LONGEST_UNIT = 24
 SHORT, RUN = 2, 3
-REMEMBERED = 250_000
+#: Similarities one worker remembers (4 bytes each).
+REMEMBERED = 10_000_000
 TEXTS_AT_ONCE = 500
 REGULARISATION = 0.0001
 
 KEPT_BYTES = set(LOWER) | {b for b in WORD_BYTES if b >= 0x80} | set(b" \t\n\r\x0b\x0c")
 DROPPED = bytes(b for b in range(256) if b not in KEPT_BYTES)
+#: Where a letter may be hidden: every sign within a word, these also at its ends.
+HIDING = b"*#@$_%"
+HIDDEN = bytes(b if b in KEPT_BYTES else string_kernel.MASK for b in range(256))
+AT_ENDS = bytes(b for b in DROPPED if b not in HIDING)
 
 
 def units_of(text: str | None) -> set[bytes]:
     """Units of the whole text; long ones as overlapping stretches."""
-    words = (text or "").lower().encode().translate(None, DROPPED).split()
-    units = {w for w in words if len(w) >= 4}
+    whole = (text or "").lower().encode()
+    words = whole.translate(None, DROPPED).split()
+    units = {w for w in words if len(w) >= 2}
+    for w in set(whole.split()):
+        w = w.strip(AT_ENDS)
+        if not w.isalpha():
+            w = w.translate(HIDDEN)
+            if string_kernel.MASK in w and len(w) >= 3 and w.count(string_kernel.MASK) < len(w) - 1:
+                units.add(w)
     run: list[bytes] = []
     for w in [*words, b"." * (SHORT + 1)]:
         if len(w) <= SHORT:
@@ -83,29 +100,43 @@ class ToxicityModel:
 class UnitMemory:
     """Similarities of units seen before by this worker, so that each is computed once.
 
-    A text's vector has its similarity to each landmark and, last, the largest of them.
+    A text's vector has its two similarities to each landmark and, last, the largest of each.
     """
 
     def __init__(self, landmarks: list[bytes]):
         self.landmarks = Landmarks(landmarks)
-        self.seen: set[bytes] = set()
-        self.similar: dict[bytes, list[tuple[int, float]]] = {}
+        self.most = max(1, REMEMBERED // max(1, 2 * len(landmarks)))
+        self.forget()
+
+    def forget(self) -> None:
+        self.seen: dict[bytes, int] = {}
+        self.rows = np.zeros((0, 2 * len(self.landmarks.landmarks)), np.float32)
+
+    def learn(self, units: set[bytes]) -> None:
+        fresh = [u for u in units if u not in self.seen]
+        if len(self.seen) + len(fresh) > self.most:
+            self.forget()
+            fresh = list(units)
+        start, end = len(self.seen), len(self.seen) + len(fresh)
+        if end > len(self.rows):
+            grown = np.zeros((min(max(end, 2 * len(self.rows)), max(end, self.most)), self.rows.shape[1]), np.float32)
+            grown[:start] = self.rows[:start]
+            self.rows = grown
+        self.rows[start:end] = self.landmarks.similarities(fresh)
+        self.seen.update(zip(fresh, range(start, end)))
 
     def vectors(self, texts: list[str | None]) -> np.ndarray:
-        out = np.zeros((len(texts), len(self.landmarks.landmarks) + 1))
+        m = len(self.landmarks.landmarks)
+        out = np.zeros((len(texts), 2 * m + 2))
         for at in range(0, len(texts), TEXTS_AT_ONCE):
             units = [units_of(t) for t in texts[at : at + TEXTS_AT_ONCE]]
-            fresh = set().union(*units) - self.seen
-            if len(self.seen) + len(fresh) > REMEMBERED:
-                self.seen, self.similar = set(), {}
-                fresh = set().union(*units)
-            self.seen |= fresh
-            self.similar |= self.landmarks.similarities(list(fresh), FLOOR)
+            self.learn(set().union(*units))
             for i, own in enumerate(units, at):
-                for u in own & self.similar.keys():
-                    for j, s in self.similar[u]:
-                        out[i, j] = max(out[i, j], s)
-        out[:, -1] = out.max(axis=1)
+                if own and m:
+                    out[i, : 2 * m] = self.rows[[self.seen[u] for u in own]].max(axis=0)
+        if m:
+            out[:, -2] = out[:, :m].max(axis=1)
+            out[:, -1] = out[:, m : 2 * m].max(axis=1)
         return out
 
 
@@ -119,28 +150,43 @@ def unit_memory(landmarks: list[bytes]) -> UnitMemory:
     return _remembered[0]
 
 
+def plain_units(text: str | None) -> tuple[list[bytes], int]:
+    """Units without hidden letters, and the least of their hashes: near copies mostly share it."""
+    units = [u for u in units_of(text) if string_kernel.MASK not in u]
+    return units, min((xxhash.xxh64_intdigest(u) >> 1 for u in units), default=0)
+
+
+@F.arrow_udf(LongType())
+def _text_group(texts: pa.Array) -> pa.Array:
+    return pa.array([plain_units(t)[1] for t in texts.to_pylist()], pa.int64())
+
+
 def _word_counts(sample: DataFrame) -> DataFrame:
-    """(word, toxic, clean): sampled texts of each class that have the unit."""
+    """(word, toxic, clean): groups of near copies of each class with a text that has the unit."""
 
     def count(batches):
-        found = (Counter(), Counter())
         for batch in batches:
+            found = set()
             for text, label in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist()):
-                found[1 if label else 0].update(units_of(text))
-        words = list(found[0] | found[1])
-        yield pa.RecordBatch.from_pydict(
-            {"word": words, "toxic": [found[1][w] for w in words], "clean": [found[0][w] for w in words]},
-            pa.schema([("word", pa.binary()), ("toxic", pa.int64()), ("clean", pa.int64())]),
-        )
-
-    # Copies of one text say no more than the text itself.
+                units, group = plain_units(text)
+                found.update((u, bool(label), group) for u in units)
+            rows = list(found)
+            yield pa.RecordBatch.from_pydict(
+                {"word": [r[0] for r in rows], "label": [r[1] for r in rows], "text_group": [r[2] for r in rows]},
+                pa.schema([("word", pa.binary()), ("label", pa.bool_()), ("text_group", pa.int64())]),
+            )
+
+    # Copies and near copies of one text say no more than the text itself.
     texts = sample.select("text", "label").distinct()
-    counted = texts.mapInArrow(count, "word binary, toxic long, clean long")
-    return counted.groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    counted = texts.mapInArrow(count, "word binary, label boolean, text_group long").distinct()
+    return counted.groupBy("word").agg(
+        F.count(F.when(F.col("label"), 1)).alias("toxic"), F.count(F.when(~F.col("label"), 1)).alias("clean")
+    )
 
 
 def pieces_of(word: bytes) -> set[bytes]:
-    return {word[i : i + n] for n in PIECE_LENGTHS for i in range(len(word) - n + 1)}
+    pieces = {word[i : i + n] for n in PIECE_LENGTHS for i in range(len(word) - n + 1)}
+    return pieces | {word} if len(word) >= SHORTEST else pieces
 
 
 def _piece_counts(words: DataFrame, pieces: set[bytes]) -> dict[bytes, tuple[int, int]]:
@@ -164,21 +210,60 @@ def _piece_counts(words: DataFrame, pieces: set[bytes]) -> dict[bytes, tuple[int
     return {bytes(r.piece): (r.toxic, r.clean) for r in rows.collect()}
 
 
-def choose_landmarks(sample: DataFrame, n_toxic: int, n_clean: int) -> list[bytes]:
-    """Pieces that cover the words typical of toxic texts, the largest cover first.
+def tail(toxic: int, clean: int, share: float) -> float:
+    """Chance that at least ``toxic`` of the texts with a word are toxic, if ``share`` of all are."""
+    n = toxic + clean
+    logs = [
+        lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * log(share) + (n - i) * log1p(-share)
+        for i in range(toxic, n + 1)
+    ]
+    top = max(logs)
+    return min(1.0, exp(top) * sum(exp(x - top) for x in logs))
+
 
-    What reaches the driver is bounded by CANDIDATES words and their pieces.
+def typical_counts(counts: list[tuple[int, int, int]], n_toxic: int, n_clean: int) -> set[tuple[int, int]]:
+    """The (toxic, clean) counts of words that are significantly frequent in toxic texts, from
+    (toxic, clean, words), with FALSE_DISCOVERIES false ones among them (Benjamini-Hochberg).
+
+    Words in so few texts that none of them could be significant are not counted as tested.
+    """
+    share = n_toxic / (n_toxic + n_clean)
+    fewest = max(2, ceil(log(FALSE_DISCOVERIES) / log(share)))
+    tested = [(tail(t, c, share), t, c, n) for t, c, n in counts if t + c >= fewest]
+    total, so_far, limit = sum(n for *_, n in tested), 0, 0.0
+    for chance, _, _, n in sorted(tested):
+        so_far += n
+        if chance <= FALSE_DISCOVERIES * so_far / total:
+            limit = chance
+    return {(t, c) for chance, t, c, _ in tested if chance <= limit}
+
+
+def choose_landmarks(sample: DataFrame) -> list[bytes]:
+    """Pieces that cover the words typical of toxic texts, the largest cover first, until no
+    such word is left that a piece typical of toxic texts could cover.
+
+    Words and texts are counted over distinct groups of near copies.  What reaches the driver is the typical
+    words, of a sample of bounded rows, and their pieces.
     """
+    groups = sample.select("label", _text_group("text").alias("text_group")).distinct()
+    n = {bool(r.label): r.n for r in groups.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    n_toxic, n_clean = n.get(True, 0), n.get(False, 0)
+    if not n_toxic or not n_clean:
+        return []
     words = materialize(_word_counts(sample), "toxic-words")
 
     def ratio(toxic, clean):
         return ((toxic + 0.5) / (n_toxic + 1.0)) / ((clean + 0.5) / (n_clean + 1.0))
 
-    typical = words.where((F.col("toxic") >= 2) & (ratio(F.col("toxic"), F.col("clean")) >= LEAST_RATIO))
-    top = typical.orderBy(F.col("toxic").desc(), "word").limit(CANDIDATES).collect()
+    counts = [(r.toxic, r.clean, r.n) for r in words.groupBy("toxic", "clean").agg(F.count("*").alias("n")).collect()]
+    found = [(t, c) for t, c in typical_counts(counts, n_toxic, n_clean) if ratio(t, c) >= LEAST_RATIO]
+    if not found:
+        return []
+    pairs = words.sparkSession.createDataFrame(found, "toxic long, clean long")
+    top = words.join(F.broadcast(pairs), ["toxic", "clean"], "left_semi").collect()
     open_words = {bytes(r.word): r.toxic for r in top}
     pieces = {w: pieces_of(w) for w in open_words}
-    counts = _piece_counts(words, set().union(*pieces.values())) if pieces else {}
+    counts = _piece_counts(words, set().union(*pieces.values()))
     fair = {p for p, (t, c) in counts.items() if ratio(t, c) >= LEAST_RATIO}
     # What a piece covers counts beyond LEAST_RATIO times what its clean texts let expect.
     gain = Counter({p: -LEAST_RATIO * counts[p][1] * n_toxic / max(1, n_clean) for p in fair})
@@ -188,25 +273,61 @@ def choose_landmarks(sample: DataFrame, n_toxic: int, n_clean: int) -> list[byte
             gain[p] += t
             holders.setdefault(p, []).append(w)
     chosen: list[bytes] = []
-    least = max(2.0, LEAST_COVER * n_toxic)
-    while gain and len(chosen) < LANDMARKS:
+    while gain:
         best = max(gain, key=lambda p: (gain[p], len(p), p))
-        if gain[best] < least:
-            break
-        chosen.append(best)
-        for w in holders[best]:
-            t = open_words.pop(w, None)
-            if t is not None:
-                for p in pieces[w] & fair:
-                    gain[p] -= t
         del gain[best]
+        covered = [w for w in holders[best] if w in open_words]
+        if not covered:
+            continue
+        chosen.append(best)
+        for w in covered:
+            t = open_words.pop(w)
+            for p in pieces[w] & gain.keys():
+                gain[p] -= t
     return chosen
 
 
-def _vector_udf(shared):
+def respelt(word: str, way: int) -> str:
+    """The word with hidden letters, letters apart, a letter put in at each place, or without vowels."""
+    if way == 0:
+        return "".join("*" if i % 2 and i < len(word) - 1 else x for i, x in enumerate(word))
+    if way == 1:
+        return " ".join(word)
+    if way == 2:
+        return "x".join(word)
+    inner = "".join(x for x in word[1:-1] if x not in "aeiou")
+    return word[:1] + inner + word[-1:]
+
+
+def respelt_text(text: str | None, landmarks: list[bytes], toxic: bool) -> str | None:
+    """The text with all words that hold a landmark, or in a clean text some words, respelt in
+    a way that depends on the text; None if there are no such words."""
+    words = (text or "").lower().split()
+    way = crc32((text or "").encode())
+    pieces = [x.decode("utf-8", "ignore") for x in landmarks]
+    plain = [w.encode().translate(None, DROPPED).decode("utf-8", "ignore") for w in words]
+    if toxic:
+        chosen = {i for i, w in enumerate(plain) if any(p in w for p in pieces)}
+    else:
+        chosen = {i for i, w in enumerate(plain) if len(w) >= 4 and (i + way) % 16 == 0}
+    if not chosen:
+        return None
+    return " ".join(respelt(plain[i], (way >> 8) % 4) if i in chosen else w for i, w in enumerate(words))
+
+
+def _respelt_udf(shared):
+    @F.arrow_udf("string")
+    def other(texts: pa.Array, labels: pa.Array) -> pa.Array:
+        rows = zip(texts.to_pylist(), labels.to_pylist())
+        return pa.array([respelt_text(t, shared.value, bool(label)) for t, label in rows], pa.string())
+
+    return other
+
+
+def _vector_udf(shared, root):
     @F.arrow_udf("array<double>")
     def vectors(texts: pa.Array) -> pa.Array:
-        found = unit_memory(shared.value).vectors(texts.to_pylist())
+        found = unit_memory(shared.value).vectors(texts.to_pylist()) @ root.value.T
         return pa.array(list(found), pa.list_(pa.float64()))
 
     return vectors
@@ -221,7 +342,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, bound: int = SAMPLE_ROWS) -
         # One class or none: its own share, with a little doubt.
         share = 0.9999 if 1.0 in seen else 0.0001
         return ToxicityModel([], np.zeros(0), 0.0, 0.0, float(np.log(share / (1 - share))))
-    landmarks = choose_landmarks(sample, seen[1.0].n, seen[0.0].n)
+    landmarks = choose_landmarks(sample)
     if not landmarks:
         share = seen[1.0].w / (seen[1.0].w + seen[0.0].w)
         return ToxicityModel([], np.zeros(0), 0.0, 0.0, float(np.log(share / (1 - share))))
@@ -229,24 +350,27 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, bound: int = SAMPLE_ROWS) -
     root = vectors @ np.diag(1 / np.sqrt(np.maximum(values, 1e-3))) @ vectors.T
 
     shared = docs.sparkSession.sparkContext.broadcast(landmarks)
-    # The largest similarity passes through the map as it is.
-    root = np.block([[root, np.zeros((len(root), 1))], [np.zeros((1, len(root))), np.ones((1, 1))]])
-    mapped = F.transform(
-        F.array(*[F.array(*[F.lit(float(v)) for v in row]) for row in root]),
-        lambda row: F.aggregate(F.zip_with(row, "x", lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v),
+    # The second similarities and the largest ones pass through the map as they are.
+    m = len(landmarks)
+    whole = np.eye(2 * m + 2)
+    whole[:m, :m] = root
+    root = whole
+    other = _respelt_udf(shared)("text", "label")
+    doubled = materialize(sample.select("text", "label", "weight", other.alias("other")), "toxic-spellings")
+    half = F.when(F.col("other").isNull(), 1.0).otherwise(0.5) * F.col("weight")
+    spelt = doubled.select("text", "label", half.alias("weight")).unionByName(
+        doubled.where(F.col("other").isNotNull()).select(F.col("other").alias("text"), "label", half.alias("weight"))
     )
-    rows = sample.withColumn("x", _vector_udf(shared)("text")).select("label", "weight", "x")
-    rows = rows.withColumn("v", array_to_vector(mapped)).select("label", "weight", "x", "v")
+    rows = spelt.withColumn("x", _vector_udf(shared, docs.sparkSession.sparkContext.broadcast(root))("text"))
+    rows = rows.select("label", "weight", array_to_vector("x").alias("v"))
     with kept(rows) as rows:
         machine = LinearSVC(
             featuresCol="v", labelCol="label", weightCol="weight", regParam=REGULARISATION, maxIter=100, standardization=False
         ).fit(rows)
         weights = root @ np.array(machine.coefficients)
         bias = float(machine.intercept)
-        terms = F.zip_with("x", F.array(*[F.lit(float(w)) for w in weights]), lambda a, b: a * b)
-        margin = F.aggregate(terms, F.lit(bias), lambda s, v: s + v)
         curve = LogisticRegression(featuresCol="m", labelCol="label", weightCol="weight", regParam=0.001).fit(
-            rows.select("label", "weight", array_to_vector(F.array(margin)).alias("m"))
+            machine.transform(rows).select("label", "weight", array_to_vector(F.array(vector_to_array("rawPrediction")[1])).alias("m"))
         )
     return ToxicityModel(landmarks, weights, bias, float(curve.coefficients[0]), float(curve.intercept))
 

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from tablewright.llm import string_kernel as sk
-from tablewright.llm.toxicity import keep_clean, score_toxicity, units_of
+from tablewright.llm.toxicity import choose_landmarks, keep_clean, score_toxicity, units_of
 from tests.llm.awkward import ROWS, documents, fold, labels
 
 
@@ -70,3 +70,54 @@ def test_scores_of_awkward_rows(spark, known):
 
 def test_scores_of_nothing(spark):
     assert score_toxicity(documents(spark, []), labels(spark)).count() == 0
+
+
+def test_similarities_are_the_kernels_themselves():
+    units = [b"wrthlss", b"rthless", b"worthlxx", b"stpd", b"scm", b"m\x01r\x01n"]
+    marks = [b"worthless", b"stupid", b"scum", b"moron"]
+    got = sk.Landmarks(marks).similarities(units)
+    for i, u in enumerate(units[:5]):
+        for j, x in enumerate(marks):
+            want = min(1.0, _kernel(u, x, 4, sk.DECAY) / _kernel(x, x, 4, sk.DECAY))
+            assert np.isclose(got[i, j], want, rtol=1e-3, atol=1e-6)
+    assert got[0, 0] > 0.35 and got[1, 0] > 0.6
+    assert all(got[i, 4 + j] == got[i, 4:].max() > 0.25 for i, j in [(0, 0), (3, 1), (4, 2), (5, 3)])
+
+
+def test_masked_spaced_and_inserted_spellings(spark):
+    rng = np.random.default_rng(5)
+    syllables = "ka lo mi ne ru sa ti vo pe da".split()
+    insults = ["moron", "stupid", "idiot", "scum", "worthless"]
+    rows, known = [], []
+    for i in range(900):
+        words = ["".join(rng.choice(syllables, 3)) for _ in range(20)]
+        if i % 3 == 0:
+            words[i % 20] = insults[i // 3 % 5]
+        rows.append((i, " ".join(words), "en", "a"))
+        known.append((i, 1, int(i % 3 == 0), "t", 1))
+    odd = "m*r*n id**t sc*m m0r0n stpd wrthlss mxoxrxoxn sxtxuxpxid ixdxixoxt s.t.u.p.i.d".split() + ["m o r o n", "s t u p i d"]
+    rows += [(5000 + i, f"kalomi {w} nerusa tivope", "en", "a") for i, w in enumerate(odd)]
+    got = {r.doc_id: r for r in score_toxicity(documents(spark, rows), labels(spark, known)).collect()}
+    assert [w for i, w in enumerate(odd) if not got[5000 + i].predicted] == []
+    assert np.mean([got[i].predicted == (i % 3 == 0) for i in range(900)]) > 0.97
+
+
+def _insults(n, seed):
+    rng = np.random.default_rng(seed)
+    return ["".join(rng.choice(list("bcdfghjqwxyz"), 8)) for _ in range(n)]
+
+
+def test_many_rare_insults_all_become_landmarks(spark):
+    insults = _insults(200, 3)
+    rows = [(f"{_talk(1, i)[0][0][1]} {i} {insults[i % 333] if i % 333 < 200 else ''}", 1.0) for i in range(3996)]
+    rows += [(f"{_talk(1, 9000 + i)[0][0][1].replace('grobnix', '').replace('schwurbel', '')} {i}", 0.0) for i in range(3996)]
+    chosen = choose_landmarks(spark.createDataFrame(rows, "text string, label double"))
+    assert [w for w in insults if not any(x in w.encode() for x in chosen)] == []
+
+
+def test_copies_do_not_hide_other_insults(spark):
+    insults = _insults(10, 4)
+    rows = [("one text many times", 1.0)] * 9000 + [(f"{_talk(1, i)[0][0][1][:60]} {insults[i % 10]}", 1.0) for i in range(400)]
+    rows += [(_talk(1, 1000 + i)[0][0][1][:60], 0.0) for i in range(400)]
+    chosen = choose_landmarks(spark.createDataFrame(rows, "text string, label double"))
+    assert [w for w in insults if not any(x in w.encode() for x in chosen)] == []
