@@ -11,11 +11,13 @@ from tablewright.llm.jaccard_join import join_similar
 from tablewright.llm.katz import score_documents
 from tablewright.llm.licence_scan import scan_licences
 from tablewright.llm.page_text import extract_text
+from tablewright.llm.prefix_trie import prefix_trie
 from tablewright.llm.quality_rules import apply_quality_rules
 from tablewright.llm.site_quality import classify_by_site
 from tablewright.llm.source_mix import mix_sources
 from tablewright.llm.token_counts import count_tokens
 from tablewright.llm.toxicity import score_toxicity
+from tablewright.llm.turn_repair import damaged, repair_report
 from tablewright.plans.views import table
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -83,3 +85,13 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_katz_scores")
 def op10_katz_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(table(spark, sf_dir, "documents"))
+
+
+@query("op12_turn_repair")
+def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_report(damaged(table(spark, sf_dir, "conversations")))
+
+
+@query("op13_prefix_trie", sql.PREFIX_TRIE)
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(table(spark, sf_dir, "conversations"))

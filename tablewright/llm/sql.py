@@ -68,3 +68,55 @@ SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hi
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(d.w) AS contaminated
 FROM d LEFT JOIN words USING (r) LEFT JOIN items USING (r)
 """
+
+#: crc32 of an ASCII string, byte by byte over a table that is computed here.
+_CRC32 = """
+crc_table AS (
+    SELECT list(v ORDER BY n) AS entries
+    FROM (SELECT n, list_reduce(list_prepend(n::BIGINT, range(8)),
+                                lambda c, step: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v
+          FROM range(256) AS t(n))
+)"""
+
+
+def _crc32(text: str) -> str:
+    codes = f"list_transform(string_split({text}, ''), lambda x: ascii(x)::BIGINT)"
+    step = "xor(c >> 8, crc_table.entries[(xor(c, b) & 255) + 1])"
+    return f"xor(list_reduce(list_prepend(4294967295, {codes}), lambda c, b: {step}), 4294967295)"
+
+
+PREFIX_TRIE = f"""
+WITH {_CRC32}, t AS (
+    SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS p,
+           coalesce(role, '') AS role, coalesce(text, '') AS text
+    FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (
+    SELECT c, c - c % 5 AS first, {_crc32("c::VARCHAR")} % 9 AS h FROM (SELECT DISTINCT c FROM t), crc_table
+), rebuilt AS (
+    SELECT convs.c, 0 AS part, p, role, text FROM convs JOIN t ON t.c = first AND p <= h
+    UNION ALL
+    SELECT convs.c, 1, p, role, text FROM convs JOIN t ON t.c = convs.c AND p > h
+), placed AS (
+    SELECT c, row_number() OVER (PARTITION BY c ORDER BY part, p) AS d, {{'role': role, 'text': text}} AS turn FROM rebuilt
+), whole AS (
+    SELECT convs.c, coalesce(s.path, []) AS path
+    FROM convs LEFT JOIN (SELECT c, list(turn ORDER BY d) AS path FROM placed GROUP BY c) s ON s.c = convs.c
+), member AS (
+    SELECT c, d, path[1:d] AS path, d = len(path) AS ends FROM whole, unnest(range(0, len(path) + 1)) AS u(d)
+), node AS (
+    SELECT d, path, min(c) AS c, count(*) AS n, CASE WHEN d = 0 THEN 0 ELSE strlen(path[d].text) END AS bytes,
+           sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE ends), '')) AS ends_sha256
+    FROM member GROUP BY d, path
+), kids AS (
+    SELECT d - 1 AS d, path[1:d - 1] AS path, count(*) AS n FROM node WHERE d > 0 GROUP BY ALL
+), below AS (
+    SELECT a.d, a.path, sum((b.n - 1) * b.bytes)::BIGINT AS saved, count(*) FILTER (WHERE k.n IS NULL) AS leaves
+    FROM node a JOIN node b ON b.d >= a.d AND b.path[1:a.d] = a.path LEFT JOIN kids k ON k.d = b.d AND k.path = b.path
+    GROUP BY a.d, a.path
+)
+SELECT node.c AS conv_id, node.d AS depth, up.c AS parent_conv_id, node.n AS n_convs, coalesce(kids.n, 0)::BIGINT AS n_children,
+       leaves AS n_leaves, saved AS saved_tokens, node.ends_sha256
+FROM node JOIN below ON below.d = node.d AND below.path = node.path
+LEFT JOIN kids ON kids.d = node.d AND kids.path = node.path
+LEFT JOIN node up ON up.d = node.d - 1 AND up.path = node.path[1:node.d - 1]
+"""
