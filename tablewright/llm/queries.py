@@ -10,6 +10,7 @@ from tablewright.llm.decontaminate import decontaminate
 from tablewright.llm.jaccard_join import join_similar
 from tablewright.llm.katz import score_documents
 from tablewright.llm.licence_scan import scan_licences
+from tablewright.llm.near_vectors import near_vectors
 from tablewright.llm.page_text import extract_text
 from tablewright.llm.prefix_trie import prefix_trie
 from tablewright.llm.quality_rules import apply_quality_rules
@@ -87,6 +88,11 @@ def op10_katz_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(table(spark, sf_dir, "documents"))
 
 
+@query("op11_near_vectors", sql.NEAR_VECTORS)
+def op11_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 @query("op12_turn_repair")
 def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair_report(damaged(table(spark, sf_dir, "conversations")))

@@ -120,3 +120,25 @@ FROM node JOIN below ON below.d = node.d AND below.path = node.path
 LEFT JOIN kids ON kids.d = node.d AND kids.path = node.path
 LEFT JOIN node up ON up.d = node.d - 1 AND up.path = node.path[1:node.d - 1]
 """
+
+NEAR_VECTORS = """
+WITH RECURSIVE v AS (
+    SELECT row_number() OVER () AS r, vec_id, embedding::DOUBLE[] AS e FROM embeddings
+), u AS MATERIALIZED (
+    SELECT * FROM v
+    WHERE len(e) > 0 AND len(list_filter(e, lambda x: coalesce(NOT isfinite(x), true))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0
+), link AS (
+    SELECT a.r AS a, b.r AS b FROM u a JOIN u b ON a.r <> b.r AND len(a.e) = len(b.e)
+    WHERE CASE WHEN len(a.e) = len(b.e) THEN list_cosine_similarity(a.e, b.e) >= 0.9 END
+), reach AS (
+    SELECT r, vec_id AS id FROM v
+    UNION
+    SELECT link.a, reach.id FROM reach JOIN link ON link.b = reach.r
+), least AS (
+    SELECT r, min(id) AS id FROM reach GROUP BY r
+), n AS (
+    SELECT a AS r, count(*) AS n FROM link GROUP BY a
+)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, id AS component_id, vec_id IS NOT DISTINCT FROM id AS kept
+FROM v JOIN least USING (r) LEFT JOIN n USING (r)
+"""
