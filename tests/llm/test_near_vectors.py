@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
 from tablewright.llm import near_vectors as nv
@@ -127,7 +128,7 @@ def test_search_in_one_graph_finds_the_range():
 def test_sql_states_the_same(spark, tmp_path):
     rows = [r for r in AWKWARD if r[0] != 10 and r[0] != 11] + _clumps(6, 30, 3, 5, low=0.95)
     (tmp_path / "t").mkdir()
-    _table(spark, rows).toPandas().to_parquet(tmp_path / "t" / "embeddings.parquet")
+    pq.write_table(_table(spark, rows).toArrow(), tmp_path / "t" / "embeddings.parquet")
     duck = tables_in_duckdb(str(tmp_path / "t"))
     from tablewright.llm.sql import NEAR_VECTORS
 
