@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from collections import Counter
 from dataclasses import dataclass
+from heapq import nsmallest
 from math import ceil, exp, lgamma, log, log1p
 from zlib import crc32
 
@@ -45,6 +46,7 @@ SHORT, RUN = 2, 3
 REMEMBERED = 10_000_000
 TEXTS_AT_ONCE = 500
 REGULARISATION = 0.0001
+FIT_TASKS = 4
 
 KEPT_BYTES = set(LOWER) | {b for b in WORD_BYTES if b >= 0x80} | set(b" \t\n\r\x0b\x0c")
 DROPPED = bytes(b for b in range(256) if b not in KEPT_BYTES)
@@ -151,9 +153,11 @@ def unit_memory(landmarks: list[bytes]) -> UnitMemory:
 
 
 def plain_units(text: str | None) -> tuple[list[bytes], int]:
-    """Units without hidden letters, and the least of their hashes: near copies mostly share it."""
+    """Units without hidden letters, and a name made of the two least of their hashes: near copies
+    mostly share it, other texts hardly ever do."""
     units = [u for u in units_of(text) if string_kernel.MASK not in u]
-    return units, min((xxhash.xxh64_intdigest(u) >> 1 for u in units), default=0)
+    least = nsmallest(2, (xxhash.xxh64_intdigest(u) for u in units))
+    return units, xxhash.xxh64_intdigest(repr(least)) >> 1
 
 
 @F.arrow_udf(LongType())
@@ -362,8 +366,9 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, bound: int = SAMPLE_ROWS) -
         doubled.where(F.col("other").isNotNull()).select(F.col("other").alias("text"), "label", half.alias("weight"))
     )
     rows = spelt.withColumn("x", _vector_udf(shared, docs.sparkSession.sparkContext.broadcast(root))("text"))
-    rows = rows.select("label", "weight", array_to_vector("x").alias("v"))
-    with kept(rows) as rows:
+    # A bounded sample: written by many tasks, then passed over by a few.
+    rows = materialize(rows.select("label", "weight", "x"), "toxic-vectors").coalesce(FIT_TASKS)
+    with kept(rows.select("label", "weight", array_to_vector("x").alias("v"))) as rows:
         machine = LinearSVC(
             featuresCol="v", labelCol="label", weightCol="weight", regParam=REGULARISATION, maxIter=100, standardization=False
         ).fit(rows)
