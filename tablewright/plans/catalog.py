@@ -5,6 +5,7 @@ from __future__ import annotations
 from tablewright.plans import (  # noqa: F401
     feature_queries,
     genotype_queries,
+    learned_queries,
     metric_queries,
     model_queries,
     relational_queries,
