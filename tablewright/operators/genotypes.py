@@ -4,19 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tablewright.operators.clustering import assign_clusters
+from tablewright.operators.components import sample_components
 from tablewright.operators.ordering import dense_ids
 from tablewright.workspace import materialize
 
 #: Variants of one block of a sample's vector.
 BLOCK_WIDTH = 65_535
-#: Most samples whose pairwise products the driver takes apart (8 bytes a pair).
-MOST_SAMPLES = 10_000
 
 
 def semi_join_panel(calls: DataFrame, samples: DataFrame) -> DataFrame:
@@ -51,6 +48,16 @@ def filter_by_frequency(calls: DataFrame, low: int, high: int) -> DataFrame:
     return calls.join(kept.select("variant"), "variant", "left_semi")
 
 
+def filter_by_share(calls: DataFrame, low: float, high: float) -> DataFrame:
+    """Calls of fully called variants whose carriers are a share in [low, high] of the samples.
+
+    A share means the same for any number of samples.
+    """
+    carriers, samples = F.col("n_carriers"), F.col("n_samples")
+    kept = complete_variants(calls).where((carriers >= F.lit(low) * samples) & (carriers <= F.lit(high) * samples))
+    return calls.join(kept.select("variant"), "variant", "left_semi")
+
+
 def varying_calls(calls: DataFrame) -> DataFrame:
     """Calls of fully called variants whose counts differ between samples.
 
@@ -130,54 +137,24 @@ def _zeros(n: Column) -> Column:
     return F.array_repeat(F.lit(0.0), n.cast("int"))
 
 
-def sample_components(vectors: DataFrame, components: int) -> DataFrame:
-    """(sample, pcs): the samples on their first principal components, from (sample, block, counts).
-
-    Samples are few and variants are many, so the products are taken between samples: each
-    block is centred by variant and gives the sums of products of every pair of samples, the
-    blocks' sums are added up, and only that samples-by-samples matrix reaches the driver.
-    """
-    names = sorted(r.sample for r in vectors.select("sample").distinct().limit(MOST_SAMPLES + 1).collect())
-    if len(names) > MOST_SAMPLES:
-        raise ValueError(f"more than {MOST_SAMPLES} samples")
-
-    def products(block: pd.DataFrame) -> pd.DataFrame:
-        block = block.sort_values("sample")
-        x = np.stack(block["counts"].to_numpy())
-        x = x - x.mean(axis=0)
-        n = len(block)
-        samples = block["sample"].to_numpy()
-        return pd.DataFrame({"a": np.repeat(samples, n), "b": np.tile(samples, n), "v": (x @ x.T).ravel()})
-
-    sums = vectors.groupBy("block").applyInPandas(products, "a string, b string, v double")
-    at = {s: i for i, s in enumerate(names)}
-    gram = np.zeros((len(names), len(names)))
-    for r in sums.groupBy("a", "b").agg(F.sum("v").alias("v")).toLocalIterator():
-        gram[at[r.a], at[r.b]] = r.v
-    values, directions = np.linalg.eigh((gram + gram.T) / 2)
-    order = np.argsort(values)[::-1][:components]
-    placed = directions[:, order] * np.sqrt(np.maximum(values[order], 0.0))
-    rows = [(s, [float(v) for v in placed[i]]) for s, i in at.items()]
-    return vectors.sparkSession.createDataFrame(rows, "sample string, pcs array<double>")
-
-
 def sample_points(
-    calls: DataFrame, samples: DataFrame, low: int | None = None, high: int | None = None, components: int = 5
+    calls: DataFrame, samples: DataFrame, low: float | None = None, high: float | None = None, components: int = 5
 ) -> DataFrame:
     """(sample, features): restrict, filter, build vectors, take the components.
 
-    Without a range of carrier counts, the variants whose counts differ between the samples are
-    taken, and it is an error if there are none.  Each reduced table is written once, so the
-    calls are read and joined a single time.
+    ``low`` and ``high`` are shares of carriers among the samples.  Without them, the variants
+    whose counts differ between the samples are taken.  It is an error if no variant is left.
+    Each reduced table is written once, so the calls are read and joined a single time.
     """
     panel_calls = materialize(semi_join_panel(calls, samples), "panel-calls")
     whole = low is None and high is None
     if not whole and (low is None or high is None):
-        raise ValueError("a range of carrier counts has two ends")
-    chosen = varying_calls(panel_calls) if whole else filter_by_frequency(panel_calls, low, high)
+        raise ValueError("a range of shares has two ends")
+    chosen = varying_calls(panel_calls) if whole else filter_by_share(panel_calls, low, high)
     chosen = materialize(chosen, "chosen-calls")
-    if whole and chosen.isEmpty():
-        raise ValueError("no fully called variant differs between the samples")
+    if chosen.isEmpty():
+        what = "differs between the samples" if whole else f"has a share of carriers from {low} to {high}"
+        raise ValueError(f"no fully called variant {what}")
     points = sample_components(materialize(variant_vectors(chosen), "sample-vectors"), components)
     return points.select("sample", array_to_vector("pcs").alias("features"))
 
@@ -185,17 +162,12 @@ def sample_points(
 def population_clusters(
     calls: DataFrame,
     samples: DataFrame,
-    low: int | None = None,
-    high: int | None = None,
+    low: float | None = None,
+    high: float | None = None,
     components: int = 5,
     k: int = 2,
 ) -> DataFrame:
-    """(sample, prediction): the samples clustered on the components of their variants.
-
-    With a range of carrier counts that no variant lies in, no sample is left and the result is
-    empty; without a range see ``sample_points``.
-    """
+    """(sample, prediction): the samples clustered on the components of their variants, which
+    ``sample_points`` chooses."""
     points = sample_points(calls, samples, low, high, components)
-    if points.isEmpty():
-        return points.select("sample", F.lit(None).cast("int").alias("prediction"))
     return assign_clusters(points, k).select("sample", "prediction")

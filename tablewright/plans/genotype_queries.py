@@ -12,8 +12,10 @@ from tablewright.plans.source_queries import POPULATIONS, panel
 from tablewright.sources.genotype_text import panel_samples
 from tablewright.workspace import materialize
 
-# The range of carrier counts a variant must have.
-LOW, HIGH = 9, 11
+# The range that a variant's share of carriers must lie in, over all samples and
+# over those that are clustered.
+LOW, HIGH = 0.36, 0.96
+CLUSTERED_LOW, CLUSTERED_HIGH = 0.05, 0.95
 
 # The variants that become matrix columns.
 VARIANTS = [f"chr1:Brand#{i}" for i in range(1, 26)]
@@ -86,11 +88,12 @@ def having_complete_groups(spark: SparkSession, d: str) -> DataFrame:
         _FREQ
         + f""" SELECT sample, variant, alt_count FROM genotype
                WHERE variant IN (SELECT variant FROM freq WHERE n_samples = (SELECT n FROM total)
-                                 AND n_carriers BETWEEN {LOW} AND {HIGH})""",
+                                 AND n_carriers >= CAST({LOW} AS DOUBLE) * n_samples
+                                 AND n_carriers <= CAST({HIGH} AS DOUBLE) * n_samples)""",
     ),
 )
 def filter_by_frequency(spark: SparkSession, d: str) -> DataFrame:
-    kept = genotypes.filter_by_frequency(stored_calls(spark, d), LOW, HIGH)
+    kept = genotypes.filter_by_share(stored_calls(spark, d), LOW, HIGH)
     return kept.select("sample", "variant", "alt_count")
 
 
@@ -184,3 +187,11 @@ def population_clusters(spark: SparkSession, d: str) -> DataFrame:
     calls = views.genotype(spark, d)
     clusters = genotypes.population_clusters(calls, chosen)
     return clusters.join(chosen, "sample").select("sample", "population", F.col("prediction").alias("cluster"))
+
+
+@query("population_range_clusters")
+def population_range_clusters(spark: SparkSession, d: str) -> DataFrame:
+    """The whole chain with the range: semi-join, full calls, share of carriers, vectors, clusters."""
+    chosen = panel_samples(panel(spark, d), POPULATIONS)
+    clusters = genotypes.population_clusters(views.genotype(spark, d), chosen, CLUSTERED_LOW, CLUSTERED_HIGH)
+    return clusters.join(chosen, "sample").select("sample", "population", F.col("prediction").alias("cluster"))

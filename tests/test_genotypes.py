@@ -111,10 +111,11 @@ def test_population_clusters(spark, many_blocks):
     rows = [(f"s{s}", f"v{v:02d}", 2 if (s < 6) == (v < 10) else 0) for s in range(12) for v in range(20)]
     calls = spark.createDataFrame(rows, "sample string, variant string, alt_count int")
     samples = calls.select("sample").distinct()
-    found = {r["sample"]: r.prediction for r in genotypes.population_clusters(calls, samples, 1, 11).collect()}
+    found = {r["sample"]: r.prediction for r in genotypes.population_clusters(calls, samples, 0.05, 0.95).collect()}
     assert len(found) == 12
     assert len({found[f"s{s}"] for s in range(6)}) == 1 and found["s0"] != found["s11"]
-    assert genotypes.population_clusters(calls, samples, 100, 200).count() == 0
+    with pytest.raises(ValueError, match="share of carriers"):
+        genotypes.population_clusters(calls, samples, 0.6, 0.9)
 
 
 def test_clusters_where_every_sample_carries_the_variants(spark):
@@ -136,3 +137,12 @@ def test_population_queries_return_rows_at_every_size(spark, size, n):
     clusters = genotype_queries.population_clusters(spark, folder).collect()
     assert len(clusters) == n and {r.cluster for r in clusters} == {0, 1}
     assert genotype_queries.population_sweep(spark, folder).count() > 0
+
+
+@pytest.mark.parametrize("size", ["sf0.01", "sf0.1"])
+def test_ranges_leave_rows_at_every_size(spark, size):
+    folder = f"/root/testdata/{size}"
+    kept = genotype_queries.filter_by_frequency(spark, folder)
+    every = genotype_queries.views.genotype(spark, folder).select("variant").distinct().count()
+    assert 0 < kept.select("variant").distinct().count() < every
+    assert {r.cluster for r in genotype_queries.population_range_clusters(spark, folder).collect()} == {0, 1}
