@@ -43,8 +43,8 @@ FALSE_DISCOVERIES = 0.01
 LONGEST_UNIT = 24
 SHORT, RUN = 2, 3
 #: Similarities one worker remembers (4 bytes each).
-REMEMBERED = 10_000_000
-TEXTS_AT_ONCE = 500
+REMEMBERED = 4_000_000
+TEXTS_AT_ONCE = 200
 REGULARISATION = 0.0001
 FIT_TASKS = 4
 
@@ -121,17 +121,17 @@ class UnitMemory:
             fresh = list(units)
         start, end = len(self.seen), len(self.seen) + len(fresh)
         if end > len(self.rows):
-            grown = np.zeros((min(max(end, 2 * len(self.rows)), max(end, self.most)), self.rows.shape[1]), np.float32)
+            grown = np.zeros((max(end, min(end + end // 4, self.most)), self.rows.shape[1]), np.float32)
             grown[:start] = self.rows[:start]
             self.rows = grown
         self.rows[start:end] = self.landmarks.similarities(fresh)
         self.seen.update(zip(fresh, range(start, end)))
 
-    def vectors(self, texts: list[str | None]) -> np.ndarray:
+    def vectors(self, texts: pa.Array) -> np.ndarray:
         m = len(self.landmarks.landmarks)
         out = np.zeros((len(texts), 2 * m + 2))
         for at in range(0, len(texts), TEXTS_AT_ONCE):
-            units = [units_of(t) for t in texts[at : at + TEXTS_AT_ONCE]]
+            units = [units_of(t.as_py()) for t in texts[at : at + TEXTS_AT_ONCE]]
             self.learn(set().union(*units))
             for i, own in enumerate(units, at):
                 if own and m:
@@ -153,10 +153,10 @@ def unit_memory(landmarks: list[bytes]) -> UnitMemory:
 
 
 def plain_units(text: str | None) -> tuple[list[bytes], int]:
-    """Units without hidden letters, and a name made of the two least of their hashes: near copies
+    """Units without hidden letters, and a name made of the three least of their hashes: near copies
     mostly share it, other texts hardly ever do."""
     units = [u for u in units_of(text) if string_kernel.MASK not in u]
-    least = nsmallest(2, (xxhash.xxh64_intdigest(u) for u in units))
+    least = nsmallest(3, (xxhash.xxh64_intdigest(u) for u in units))
     return units, xxhash.xxh64_intdigest(repr(least)) >> 1
 
 
@@ -170,15 +170,13 @@ def _word_counts(sample: DataFrame) -> DataFrame:
 
     def count(batches):
         for batch in batches:
-            found = set()
-            for text, label in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist()):
-                units, group = plain_units(text)
-                found.update((u, bool(label), group) for u in units)
-            rows = list(found)
-            yield pa.RecordBatch.from_pydict(
-                {"word": [r[0] for r in rows], "label": [r[1] for r in rows], "text_group": [r[2] for r in rows]},
-                pa.schema([("word", pa.binary()), ("label", pa.bool_()), ("text_group", pa.int64())]),
-            )
+            # Text by text: the units of a whole batch would be millions.
+            for text, label in zip(batch.column("text"), batch.column("label")):
+                units, group = plain_units(text.as_py())
+                yield pa.RecordBatch.from_pydict(
+                    {"word": units, "label": [bool(label.as_py())] * len(units), "text_group": [group] * len(units)},
+                    pa.schema([("word", pa.binary()), ("label", pa.bool_()), ("text_group", pa.int64())]),
+                )
 
     # Copies and near copies of one text say no more than the text itself.
     texts = sample.select("text", "label").distinct()
@@ -331,7 +329,7 @@ def _respelt_udf(shared):
 def _vector_udf(shared, root):
     @F.arrow_udf("array<double>")
     def vectors(texts: pa.Array) -> pa.Array:
-        found = unit_memory(shared.value).vectors(texts.to_pylist()) @ root.value.T
+        found = unit_memory(shared.value).vectors(texts) @ root.value.T
         return pa.array(list(found), pa.list_(pa.float64()))
 
     return vectors
@@ -385,7 +383,7 @@ def add_toxicity(rows: DataFrame, model: ToxicityModel) -> DataFrame:
     shared = rows.sparkSession.sparkContext.broadcast(model)
     @F.arrow_udf("double")
     def score(texts: pa.Array) -> pa.Array:
-        found = unit_memory(shared.value.landmarks).vectors(texts.to_pylist())
+        found = unit_memory(shared.value.landmarks).vectors(texts)
         return pa.array(shared.value.score(found), pa.float64())
 
     return rows.withColumn("score", score("text"))
