@@ -47,7 +47,7 @@ WITH d AS (
     SELECT item_id::VARCHAR AS item,
            regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                               '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
-    FROM benchmark WHERE item_id IS NOT NULL
+    FROM benchmark
 ), iw AS (
     SELECT DISTINCT item, least(13, len(w)) AS n, w[p:p + least(13, len(w)) - 1] AS win
     FROM i, unnest(range(1, greatest(len(w) - 13, 0) + 2)) AS u(p) WHERE len(w) > 0
@@ -60,7 +60,7 @@ WITH d AS (
     SELECT r, count(DISTINCT q) AS n_hit
     FROM (SELECT r, unnest(range(p, p + n)) AS q FROM (SELECT DISTINCT r, p, n FROM h)) GROUP BY r
 ), items AS (
-    SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed
+    SELECT r, count(item) AS n_items, string_agg(item, ',' ORDER BY item) AS listed
     FROM (SELECT DISTINCT r, item FROM h) GROUP BY r
 )
 SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,

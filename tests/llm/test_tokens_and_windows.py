@@ -68,14 +68,14 @@ def _words(text):
 
 def _brute(text, items):
     words, hit, found = _words(text), set(), set()
-    for item, t in items:
+    for item, t in items:  # an item without an id hits, but is in no list
         w = _words(t)
         n = min(13, len(w))
         for i in range(len(w) - n + 1) if n else ():
             for p in range(len(words) - n + 1):
                 if words[p : p + n] == w[i : i + n]:
                     hit.update(range(p, p + n))
-                    found.add(str(item))
+                    found.update([] if item is None else [str(item)])
     sha = hashlib.sha256(",".join(sorted(found)).encode()).hexdigest()
     return len(words), len(hit), len(found), sha, bool(hit) and 20 * len(hit) >= len(words)
 
@@ -88,6 +88,8 @@ ITEMS = [
     (12, " ".join(f"passage{i}" for i in range(5, 19)) + " other"),
     (2, "same line same"),
     (13, "line line line line line line line line line line line line line line"),
+    (None, " ".join(f"secret{i}" for i in range(14))),
+    (14, " ".join(f"long{i}" for i in range(100))),
 ]
 
 
@@ -95,6 +97,7 @@ ITEMS = [
 def test_windows_match_brute_force(spark, block_words):
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
     rows = [r for r in ROWS if r[0] != 7] + [(70, "line " * 30, "en", "a"), (71, "x " * 400 + "seven eight nine", "en", "a")]
+    rows += [(72, " ".join(f"Secret{i}" for i in range(13)), "en", "a"), (73, " ".join(f"long{i}" for i in range(20, 80)) + " É-É", "en", "a")]
     got = decontaminate(documents(spark, rows), items, block_words=block_words).collect()
     assert sorted((r.doc_id or -1, *r[1:6]) for r in got) == sorted((r[0] or -1, *_brute(r[1], ITEMS)) for r in rows)
     kept = drop_contaminated(documents(spark, rows), items, block_words=block_words)
