@@ -2,12 +2,12 @@
 
 The index holds, for every licence template, the words of its mandatory phrase that are
 rarest in the scanned corpus, with their positions in the template.  A file is looked up by
-the indexed words it contains; each hit proposes a start of the template, hits that agree on
-a start are one proposal, and a proposal stands if the mandatory phrase stands where the
-start puts it.  The score is the share of the template's inverse document frequency that the
-file holds in place.  Since every match holds its mandatory phrase, and so the indexed words
-of it, no match can be missed, and no row leaves its partition: only the word frequencies
-are aggregated.
+the indexed words it contains; each hit proposes a start of the template, the postings are
+intersected by that start, so that only starts on which two words agree remain, and one stands
+if the mandatory phrase stands where the start puts it and the file holds half of the
+template's inverse document frequency in place; that share is the score.  Since every match
+holds its mandatory phrase, and so all indexed words of it, no match can be missed, and no row
+leaves its partition: only the word frequencies are aggregated.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ TEMPLATES = (
     ("agpl-3.0", "licensed under the gnu affero general public license version 3", "gnu affero general public license"),
     ("all-rights-reserved", "all rights reserved", "all rights reserved"),
     ("apache-2.0", "licensed under the apache license version 2 0", "apache license version 2 0"),
-    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted", "source and binary forms"),
+    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted", "redistribution and use in source and binary forms"),
     ("cc-by-4.0", "licensed under cc by 4 0", "cc by 4 0"),
     ("cc-by-nc-4.0", "licensed under cc by nc 4 0", "cc by nc 4 0"),
     ("cc-by-sa-4.0", "licensed under cc by sa 4 0", "cc by sa 4 0"),
@@ -40,12 +40,18 @@ TEMPLATES = (
     ("mit", "released under the mit license", "mit license"),
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software", "permission is hereby granted free of charge"),
     ("mpl-2.0", "subject to the terms of the mozilla public license v 2 0", "mozilla public license"),
-    ("public-domain", "released into the public domain", "into the public domain"),
+    ("public-domain", "released into the public domain", "released into the public domain"),
+    ("public-domain", "dedicated to the public domain", "dedicated to the public domain"),
+    ("public-domain", "placed in the public domain", "placed in the public domain"),
 )
 
 #: Everything between folded words, with A-Z already lower-cased.
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-INDEXED_PER_TEMPLATE = 2
+INDEXED_PER_TEMPLATE = 3
+#: Indexed words of a file that must propose the same start, and the share of a template's weight
+#: that must be in place.
+AGREEING = 2
+LEAST_SHARE = 0.5
 
 
 def words_of(text: Column) -> Column:
@@ -126,7 +132,10 @@ def scan_licences(
                 index[h["w"]], lambda p: F.struct(p["t"].alias("t"), (h["i"] - p["p"]).alias("s"))
             ),
         )
-        return F.array_distinct(F.flatten(starts))
+        # Equal proposals are neighbours after sorting, so each that has an equal one is agreed on.
+        ordered = F.array_sort(F.flatten(starts))
+        agreed = F.filter(ordered, lambda p, i: F.get(ordered, i + AGREEING - 1) == p)
+        return F.array_distinct(agreed)
 
     def stands(ws: Column, p: Column) -> Column:
         key = F.get(key_words, p["t"])
@@ -148,18 +157,12 @@ def scan_licences(
 
     ws = F.col("words")
     candidates = F.when(F.arrays_overlap(ws, _strings(postings)), F.filter(proposals(ws), lambda p: stands(ws, p)))
-    found = words.withColumn("proposed", candidates).withColumn(
-        "matches",
-        F.coalesce(
-            F.transform(
-                "proposed",
-                lambda p: F.struct(
-                    F.get(labels, p["t"]).alias("label"), p["s"].alias("start"), share(ws, p).alias("share")
-                ),
-            ),
-            F.expr("array()"),
-        ),
+    placed = F.transform(
+        "proposed",
+        lambda p: F.struct(F.get(labels, p["t"]).alias("label"), p["s"].alias("start"), share(ws, p).alias("share")),
     )
+    matches = F.filter(placed, lambda m: m["share"] >= LEAST_SHARE)
+    found = words.withColumn("proposed", candidates).withColumn("matches", F.coalesce(matches, F.expr("array()")))
 
     # Base phrases: the words stand between single blanks; every start keeps its closing blank.
     firsts = _strings(sorted({phrase.split()[0] for phrase, _ in base_phrases}))

@@ -90,6 +90,9 @@ TEXTS = [
     LONG + " GNU GENERAL PUBLIC LICENSE version 3 " + LONG,
     "CC BY",
     "All rights reserved.",
+    "we talked about source and binary forms of verbs",
+    "he moved into the public domain of debate",
+    "Redistribution and use in source and binary forms, with or without modification, are permitted. Released into the Public Domain!",
 ]
 
 
@@ -109,6 +112,8 @@ def test_scan_matches_brute_force(spark):
     assert "gpl-3.0" in by[106].labels
     assert by[108].labels == "all-rights-reserved" and by[108].n_base == 0
     assert by[105].labels == "" and by[105].score == 0
+    assert by[109].labels == by[110].labels == "" and by[109].score == by[110].score == 0
+    assert by[111].labels == "bsd,public-domain"
 
 
 def test_scan_of_nothing(spark):
