@@ -30,7 +30,7 @@ from pyspark.sql.types import LongType
 from tablewright.llm import string_kernel
 from tablewright.llm.labelled import HELD_OUT_FOLD, SAMPLE_ROWS, labelled_sample
 from tablewright.llm.string_kernel import Landmarks
-from tablewright.llm.words import CARRIED, LOWER, WORD_BYTES, fold_number, uncarry
+from tablewright.llm.words import CARRIED, LOWER, WORD_BYTES, fold_number, give_back, uncarry
 from tablewright.workspace import kept, materialize
 
 #: Lengths of pieces of words; a whole word may be shorter or longer.
@@ -128,6 +128,7 @@ class UnitMemory:
         self.seen.update(zip(fresh, range(start, end)))
 
     def vectors(self, texts: pa.Array) -> np.ndarray:
+        give_back()
         m = len(self.landmarks.landmarks)
         out = np.zeros((len(texts), 2 * m + 2))
         for at in range(0, len(texts), TEXTS_AT_ONCE):

@@ -6,6 +6,7 @@ are runs of digits, letters and everything beyond ASCII after A-Z has been lower
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Sequence
 
 import pyarrow as pa
@@ -25,8 +26,20 @@ FOLD = bytes(b if b in WORD_BYTES else 0x20 for b in LOWER_ASCII)
 CARRIED = "__row"
 
 
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def give_back() -> None:
+    """Returns freed memory to the system.  Worker processes are reused by later stages, beside
+    which what they no longer need would count."""
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
+
+
 def utf8(texts: pa.Array) -> list[bytes]:
-    """The texts of an Arrow column as bytes; null becomes empty."""
+    """The texts of an Arrow column as bytes; null becomes empty.  The batch before is given back."""
+    give_back()
     return [t or b"" for t in texts.cast(pa.large_binary()).to_pylist()]
 
 
