@@ -133,9 +133,11 @@ def scan_licences(
             ),
         )
         # Equal proposals are neighbours after sorting, so each that has an equal one is agreed on.
-        ordered = F.array_sort(F.flatten(starts))
-        agreed = F.filter(ordered, lambda p, i: F.get(ordered, i + AGREEING - 1) == p)
-        return F.array_distinct(agreed)
+        ordered = F.sort_array(F.flatten(starts))
+        # Beside the list moved along, as a lambda that names the list would sort it for each element.
+        ahead = F.slice(ordered, AGREEING, 1 << 30)
+        agreed = F.zip_with(ordered, ahead, lambda p, q: F.when(p == q, p))
+        return F.array_distinct(F.array_compact(agreed))
 
     def stands(ws: Column, p: Column) -> Column:
         key = F.get(key_words, p["t"])
