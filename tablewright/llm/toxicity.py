@@ -14,6 +14,7 @@ the text enters a score.
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 from heapq import nsmallest
 from math import ceil, exp, lgamma, log, log1p
@@ -42,7 +43,7 @@ LEAST_RATIO = 8.0
 FALSE_DISCOVERIES = 0.01
 LONGEST_UNIT = 24
 SHORT, RUN = 2, 3
-#: Similarities one worker remembers (4 bytes each).
+#: Similarities one task remembers (4 bytes each).
 REMEMBERED = 4_000_000
 TEXTS_AT_ONCE = 200
 REGULARISATION = 0.0001
@@ -100,7 +101,7 @@ class ToxicityModel:
 
 
 class UnitMemory:
-    """Similarities of units seen before by this worker, so that each is computed once.
+    """Similarities of units seen before in this task, so that each is computed once.
 
     A text's vector has its two similarities to each landmark and, last, the largest of each.
     """
@@ -143,14 +144,16 @@ class UnitMemory:
         return out
 
 
-_remembered: list[UnitMemory] = []
-
-
-def unit_memory(landmarks: list[bytes]) -> UnitMemory:
-    """The one memory of this worker process, kept over its tasks while the landmarks are the same."""
-    if not _remembered or _remembered[0].landmarks.landmarks != landmarks:
-        _remembered[:] = [UnitMemory(landmarks)]
-    return _remembered[0]
+def _scored(batches: Iterator[pa.Array], landmarks: list[bytes], result) -> Iterator[pa.Array]:
+    """``result`` of the vectors of each batch.  The memory of units lasts for one task, so that
+    worker processes that later stages reuse hold nothing of it."""
+    memory = UnitMemory(landmarks)
+    try:
+        for texts in batches:
+            yield result(memory.vectors(texts))
+    finally:
+        memory.forget()
+        give_back()
 
 
 def plain_units(text: str | None) -> tuple[list[bytes], int]:
@@ -329,9 +332,8 @@ def _respelt_udf(shared):
 
 def _vector_udf(shared, root):
     @F.arrow_udf("array<double>")
-    def vectors(texts: pa.Array) -> pa.Array:
-        found = unit_memory(shared.value).vectors(texts) @ root.value.T
-        return pa.array(list(found), pa.list_(pa.float64()))
+    def vectors(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        yield from _scored(batches, shared.value, lambda x: pa.array(list(x @ root.value.T), pa.list_(pa.float64())))
 
     return vectors
 
@@ -382,10 +384,11 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, bound: int = SAMPLE_ROWS) -
 def add_toxicity(rows: DataFrame, model: ToxicityModel) -> DataFrame:
     """``rows`` (text and anything else) plus score."""
     shared = rows.sparkSession.sparkContext.broadcast(model)
+
     @F.arrow_udf("double")
-    def score(texts: pa.Array) -> pa.Array:
-        found = unit_memory(shared.value.landmarks).vectors(texts)
-        return pa.array(shared.value.score(found), pa.float64())
+    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        model = shared.value
+        yield from _scored(batches, model.landmarks, lambda x: pa.array(model.score(x), pa.float64()))
 
     return rows.withColumn("score", score("text"))
 
