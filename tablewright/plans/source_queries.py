@@ -6,12 +6,12 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tablewright.functions.scalars import rounded
-from tablewright.operators import estimators
+from tablewright.operators import estimators, fingerprints
 from tablewright.plans import views
 from tablewright.plans.oracle_views import over
 from tablewright.plans.registry import query
 from tablewright.sources import delimited, genotype_text, models
-from tablewright.workspace import materialize, scratch_path
+from tablewright.workspace import materialize, named_cache, scratch_path
 
 # The populations a panel is restricted to.
 POPULATIONS = ["AMERICA", "ASIA", "EUROPE"]
@@ -83,8 +83,7 @@ def scan_csv_wide(spark: SparkSession, d: str) -> DataFrame:
     wide = delimited.spread_array(vectors, "embedding", width, "gene_")
     path = scratch_path(spark, "wide-csv")
     delimited.write_delimited(wide, path, header=True)
-    back = delimited.read_delimited(spark, path, header=True, infer=True, max_columns=25000)
-    folded = delimited.fold_numeric(back, ["vec_id"])
+    folded = delimited.read_wide_numeric(spark, path, ["vec_id"])
     total = F.aggregate("features", F.lit(0.0), lambda a, x: a + x)
     return folded.select(F.col("vec_id").cast("bigint").alias("vec_id"), rounded(total).alias("dim_sum"))
 
@@ -215,3 +214,90 @@ def table_shape(spark: SparkSession, d: str) -> DataFrame:
 def preview_ordered(spark: SparkSession, d: str) -> DataFrame:
     accounts = views.customer_account(spark, d)
     return accounts.select("cust_id", "plan", "acctbal", "n_orders", "churn").orderBy("cust_id").limit(10)
+
+
+_REPORT = """SELECT plan, churn, count(*) AS n_customers, sum(n_orders) AS n_orders
+             FROM {view} GROUP BY plan, churn"""
+
+
+@query(
+    "sql_text_report",
+    over(
+        "customer_account",
+        "SELECT plan, churn, count(*) AS n_customers, CAST(sum(n_orders) AS BIGINT) AS n_orders "
+        "FROM customer_account GROUP BY plan, churn",
+    ),
+)
+def sql_text_report(spark: SparkSession, d: str) -> DataFrame:
+    """SQL text over the registered views."""
+    views.register(spark, d)
+    return spark.sql(_REPORT.format(view="customer_account"))
+
+
+@query(
+    "cached_table_reports",
+    over(
+        "customer_account",
+        """, r AS (SELECT plan, churn, count(*) AS n_customers, CAST(sum(n_orders) AS BIGINT) AS n_orders
+                   FROM customer_account GROUP BY plan, churn)
+        SELECT plan, churn, n_customers, n_orders FROM r UNION ALL
+        SELECT 'all', 'all', count(*), CAST(sum(n_orders) AS BIGINT) FROM customer_account""",
+    ),
+)
+def cached_table_reports(spark: SparkSession, d: str) -> DataFrame:
+    """Two reports by SQL text over one cached, named table; the cache is given back with the result."""
+    with named_cache(views.customer_account(spark, d), "cached_account") as accounts:
+        total = accounts.agg(F.count("*").alias("n_customers"), F.sum("n_orders").alias("n_orders"))
+        total = total.select(F.lit("all").alias("plan"), F.lit("all").alias("churn"), "n_customers", "n_orders")
+        return materialize(spark.sql(_REPORT.format(view="cached_account")).unionByName(total), "cached-reports")
+
+
+_DIGESTS = """, t AS (SELECT user_id, item_id, rating, count(*) AS n FROM ratings GROUP BY ALL),
+    texts AS (SELECT n, md5(concat(length(item_id), ':', item_id, length(rating), ':', rating,
+                                   length(user_id), ':', user_id)) AS m FROM t),
+    digests AS (SELECT n, CAST(CAST(('0x' || substr(m, 1, 8)) AS BIGINT) % 64 AS INT) AS bucket,
+                       CAST(('0x' || substr(m, 9, 8)) AS BIGINT) AS a,
+                       CAST(('0x' || substr(m, 17, 8)) AS BIGINT) AS b,
+                       CAST(('0x' || substr(m, 25, 8)) AS BIGINT) AS c FROM texts)"""
+
+
+@query(
+    "table_fingerprint",
+    over(
+        "ratings",
+        _DIGESTS
+        + """ SELECT bucket, CAST(sum(n) AS BIGINT) AS n_rows, CAST(sum(a * n) AS VARCHAR) AS sum_a,
+                     CAST(sum(b * n) AS VARCHAR) AS sum_b, CAST(sum(c * n) AS VARCHAR) AS sum_c
+              FROM digests GROUP BY bucket""",
+    ),
+)
+def table_fingerprint(spark: SparkSession, d: str) -> DataFrame:
+    return fingerprints.table_fingerprint(views.ratings(spark, d))
+
+
+@query(
+    "differing_buckets",
+    over(
+        "ratings",
+        _DIGESTS
+        + """ SELECT bucket, CAST(sum(n) AS BIGINT) AS n_left, count(*) AS n_right
+              FROM digests GROUP BY bucket HAVING max(n) > 1""",
+    ),
+)
+def differing_buckets(spark: SparkSession, d: str) -> DataFrame:
+    """The ratings against their distinct rows: buckets that hold a repeated rating differ."""
+    ratings = views.ratings(spark, d)
+    return fingerprints.differing_buckets(ratings, ratings.distinct())
+
+
+@query(
+    "copy_is_equal",
+    over("ratings", "SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_differing FROM ratings"),
+)
+def copy_is_equal(spark: SparkSession, d: str) -> DataFrame:
+    """Buckets in which the ratings differ from themselves written as text and read back."""
+    ratings = materialize(views.ratings(spark, d), "ratings")
+    path = delimited.write_delimited(ratings, scratch_path(spark, "ratings-copy"), header=True)
+    back = delimited.read_delimited(spark, path, header=True)
+    differing = fingerprints.differing_buckets(ratings, back).agg(F.count("*")).scalar()
+    return ratings.agg(F.count("*").alias("n_rows")).withColumn("n_differing", differing)

@@ -61,6 +61,22 @@ def kept(df: DataFrame, spread_by: list[str] | None = None) -> Iterator[DataFram
         stored.unpersist()
 
 
+@contextmanager
+def named_cache(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """``df`` under a name that SQL text can use, kept in memory and on disk until the block ends.
+
+    Results that outlive the block are to be written inside it.
+    """
+    spark = df.sparkSession
+    df.createOrReplaceTempView(name)
+    spark.catalog.cacheTable(name, StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield spark.table(name)
+    finally:
+        spark.catalog.uncacheTable(name)
+        spark.catalog.dropTempView(name)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as parquet in the scratch folder and read it back.
 

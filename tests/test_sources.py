@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tablewright.sources import delimited
-from tablewright.workspace import scratch_path
+from tablewright.workspace import named_cache, scratch_path
 
 
 @pytest.fixture(scope="module")
@@ -64,3 +64,44 @@ def test_spread_is_the_inverse_of_fold(spark):
     wide = delimited.spread_array(df, "v", 2, "g")
     assert wide.first().asDict() == {"id": 1, "g0": 0.5, "g1": 1.5}
     assert delimited.fold_numeric(wide, ["id"], "v").first().v == [0.5, 1.5]
+
+
+def test_wide_text_straight_to_an_array(spark):
+    path = scratch_path(spark, "wide-text")
+    lines = ['"id",g0,"g,1",g2', '"a ""b""",1,"2.5",x', ',"",-3,4', "c,1", "d,1,2,3,4", '"e,f",1e3,,"7"', ""]
+    spark.createDataFrame([(line,) for line in lines], "value string").coalesce(1).write.text(path)
+    got = {r.id: r.features for r in delimited.read_wide_numeric(spark, path, ["id"]).collect()}
+    assert got == {
+        'a "b"': [1.0, 2.5, None], None: [None, -3.0, 4.0], "c": [1.0, None, None],
+        "d": [1.0, 2.0, 3.0], "e,f": [1000.0, None, 7.0],
+    }
+    every = delimited.read_wide_numeric(spark, path, []).collect()
+    assert len(every) == 5 and all(len(r.features) == 4 for r in every)
+
+
+def test_wide_text_equals_the_reader_at_full_width(spark):
+    width, rows = 20_531, 12
+    path = scratch_path(spark, "wide-text")
+    text = spark.range(rows).selectExpr(
+        f"concat(id, ',', array_join(transform(sequence(1, {width}), i -> cast(id * 0.25 + i as string)), ',')) AS value"
+    )
+    header = spark.createDataFrame([("id," + ",".join(f"g{i}" for i in range(width)),)], "value string")
+    header.unionAll(text).coalesce(1).write.text(path)
+    got = delimited.read_wide_numeric(spark, path, ["id"])
+    assert got.columns == ["id", "features"]
+    for r in got.collect():
+        assert r.features == [int(r.id) * 0.25 + i for i in range(1, width + 1)]
+
+
+def test_wide_text_needs_a_header(spark):
+    path = scratch_path(spark, "empty-text")
+    spark.createDataFrame([], "value string").write.text(path)
+    with pytest.raises(ValueError, match="no header"):
+        delimited.read_wide_numeric(spark, path, ["id"])
+
+
+def test_named_cache_ends_with_its_block(spark):
+    with named_cache(spark.range(3).toDF("k"), "three") as three:
+        assert spark.catalog.isCached("three")
+        assert three.count() == spark.sql("SELECT count(*) FROM three").first()[0] == 3
+    assert not spark.catalog.tableExists("three")
