@@ -118,6 +118,39 @@ def genotype_long(spark: SparkSession, d: str) -> DataFrame:
     return genotype_text.sample_variants(genotype_text.read_genotypes(spark, path))
 
 
+@query(
+    "genotype_files",
+    over(
+        "genotype panel",
+        """, p AS (SELECT g.sample, population, CAST(split_part(variant, '#', 2) AS BIGINT) AS pos, alt_count
+                   FROM genotype g JOIN panel USING (sample)
+                   WHERE population IN ('AMERICA', 'ASIA', 'EUROPE')),
+           every AS (SELECT population, sample, pos
+                     FROM (SELECT DISTINCT population, sample FROM p) s
+                     JOIN (SELECT DISTINCT population, pos FROM p) v USING (population))
+        SELECT sample, concat('chr1:', pos - 1, ':', pos) AS variant,
+               CAST(coalesce(alt_count, 2) AS INT) AS alt_count
+        FROM every LEFT JOIN p USING (population, sample, pos)""",
+    ),
+)
+def genotype_files(spark: SparkSession, d: str) -> DataFrame:
+    """Variant-call text in a folder for each chosen population, so with different samples, read as one."""
+    calls = views.genotype(spark, d).join(panel(spark, d), "sample").select(
+        "sample",
+        "population",
+        F.split("variant", ":")[0].alias("contig"),
+        F.split("variant", "#")[1].cast("bigint").alias("pos"),
+        "alt_count",
+    )
+    calls = materialize(calls, "population-calls")
+    paths = []
+    for population in POPULATIONS:
+        own = calls.where(F.col("population") == population).drop("population")
+        samples = [r.sample for r in own.select("sample").distinct().orderBy("sample").collect()]
+        paths.append(genotype_text.write_genotypes(own, samples, scratch_path(spark, "population-text")))
+    return genotype_text.sample_variants(genotype_text.read_genotypes(spark, paths))
+
+
 def panel(spark: SparkSession, d: str) -> DataFrame:
     """The population panel, written as text lines and parsed back."""
     path = scratch_path(spark, "panel-text")

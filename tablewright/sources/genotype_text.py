@@ -37,36 +37,66 @@ def panel_samples(panel: DataFrame, populations: list[str]) -> DataFrame:
     return panel.filter(F.col("population").isin(populations))
 
 
-def read_genotypes(spark: SparkSession, path: str) -> DataFrame:
+def _sample_lists(lines: DataFrame) -> DataFrame:
+    """(file, samples) of each file with a header line; a file with two different lists fails."""
+    headers = lines.filter(F.col("value").startswith(HEADER_PREFIX)).select(
+        "file", F.split("value", "\t").alias("names")
+    )
+    start = len(FIXED_COLUMNS) + 1
+    listed = headers.select("file", F.slice("names", start, F.size("names")).alias("samples"))
+    one = F.min("samples") == F.max("samples")
+    refused = F.raise_error(F.concat(F.lit("different sample lists within "), "file"))
+    return listed.groupBy("file").agg(F.when(one, F.min("samples")).otherwise(refused).alias("samples"))
+
+
+def read_genotypes(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """One row per called (sample, variant): sample, contig, start, end, alleles.
 
     Positions are zero-based and half-open.  Each call becomes a list of allele names:
-    REF for 0, ALT for 1, OTHER_ALT for a higher number, NO_CALL for a dot.  The sample
-    names come from the header line, whose length is that of any one record; files that
-    list different samples are refused, since a position would mean different samples.
+    REF for 0, ALT for 1, OTHER_ALT for a higher number, NO_CALL for a dot.  The files may
+    list different samples: each record takes the names of its own file, which stay a table
+    joined to the records.  A file without a header line takes the list of the other files of
+    its folder, or of all files, when those have one and the same, and fails otherwise; no
+    header at all is an error.  A record
+    with fewer calls than names lacks the last ones; calls beyond the names are left out.
     """
-    lines = spark.read.text(path)
-    headers = lines.filter(F.col("value").startswith(HEADER_PREFIX)).distinct().limit(2).collect()
-    if len(headers) != 1:
-        raise ValueError(f"{path} must have one and the same {HEADER_PREFIX} line in its files")
-    samples = headers[0][0].split("\t")[len(FIXED_COLUMNS):]
-    names = F.split(F.lit("\t".join(samples)), "\t")
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"))
+    lists = _sample_lists(lines)
+    n_lists, only = lists.agg(F.count("*") > 0, F.min("samples") == F.max("samples")).first()
+    if not n_lists:
+        raise ValueError(f"{path} has no {HEADER_PREFIX} line")
     fields = F.split("value", "\t")
     records = lines.filter(~F.col("value").startswith("#")).select(
+        "file",
         fields[0].alias("contig"),
         (fields[1].cast("bigint") - 1).alias("start"),
         F.length(fields[3]).alias("ref_length"),
-        F.slice(fields, len(FIXED_COLUMNS) + 1, len(samples)).alias("calls"),
+        F.slice(fields, len(FIXED_COLUMNS) + 1, F.size(fields)).alias("calls"),
     )
-    calls = records.select(
+    if only:
+        named = records.withColumn("samples", lists.agg(F.min("samples")).scalar())
+    else:
+        folder = F.regexp_replace("file", "/[^/]*$", "").alias("folder")
+        shared = lists.groupBy(folder).agg(
+            F.when(F.min("samples") == F.max("samples"), F.min("samples")).alias("folder_samples")
+        )
+        missing = F.raise_error(F.concat(F.lit("no sample list for "), "file"))
+        named = (
+            records.withColumn("folder", folder)
+            .join(lists, "file", "left")
+            .join(shared, "folder", "left")
+            .withColumn("samples", F.coalesce("samples", "folder_samples", missing))
+        )
+    calls = named.select(
         "contig",
         "start",
         (F.col("start") + F.col("ref_length")).alias("end"),
-        F.posexplode("calls").alias("position", "call"),
+        "samples",
+        F.posexplode(F.slice("calls", 1, F.size("samples"))).alias("position", "call"),
     )
     genotype = F.split(F.split("call", ":")[0], "[/|]")
     return calls.select(
-        names[F.col("position")].alias("sample"),
+        F.get("samples", F.col("position")).alias("sample"),
         "contig",
         "start",
         "end",

@@ -33,11 +33,45 @@ def test_text_records(spark):
     }
 
 
-def test_files_with_different_samples_are_refused(spark):
-    path = scratch_path(spark, "vcf")
-    spark.createDataFrame([(HEADER,), (HEADER + "\tD",)], "value string").write.text(path)
-    with pytest.raises(ValueError, match="one and the same"):
-        genotype_text.read_genotypes(spark, path)
+def written(spark, *files):
+    paths = []
+    for lines in files:
+        paths.append(scratch_path(spark, "vcf"))
+        spark.createDataFrame([(line,) for line in lines], "value string").coalesce(1).write.text(paths[-1])
+    return paths
+
+
+OTHER = [HEADER.rsplit("\t", 3)[0] + "\tD\tA", "chr2\t5\t.\tG\tC\t.\t.\t.\tGT\t1/1\t0/1"]
+
+
+def test_files_with_different_samples_give_their_union(spark):
+    paths = written(spark, [HEADER, *RECORDS], OTHER)
+    got = genotype_text.sample_variants(genotype_text.read_genotypes(spark, paths)).collect()
+    assert len(got) == 8
+    assert {("D", "chr2:4:5", 2), ("A", "chr2:4:5", 1), ("A", "chr1:99:100", 0)} <= set(map(tuple, got))
+
+
+def test_a_file_without_header_takes_the_only_list(spark):
+    paths = written(spark, [HEADER], RECORDS)
+    assert genotype_text.read_genotypes(spark, paths).count() == 6
+    paths = written(spark, [HEADER], RECORDS, OTHER)
+    spark.createDataFrame([(r,) for r in RECORDS], "value string").write.mode("append").text(paths[0])
+    assert genotype_text.read_genotypes(spark, [paths[0], paths[2]]).count() == 8
+    with pytest.raises(Exception, match="no sample list for"):
+        genotype_text.read_genotypes(spark, paths).collect()
+
+
+def test_two_lists_in_one_file_and_no_header_are_refused(spark):
+    with pytest.raises(Exception, match="different sample lists within"):
+        genotype_text.read_genotypes(spark, written(spark, [HEADER, *RECORDS, *OTHER])).collect()
+    with pytest.raises(ValueError, match="no #CHROM line"):
+        genotype_text.read_genotypes(spark, written(spark, RECORDS))
+
+
+def test_records_of_other_lengths(spark):
+    short, long = RECORDS[0].rsplit("\t", 1)[0], RECORDS[1] + "\t0/0"
+    rows = genotype_text.read_genotypes(spark, written(spark, [HEADER, short, long])).collect()
+    assert sorted((r["sample"], r.start) for r in rows) == [("A", 99), ("A", 204), ("B", 99), ("B", 204), ("C", 204)]
 
 
 def test_panel_lines_split_on_tab_or_space(spark):
