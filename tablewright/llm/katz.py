@@ -34,6 +34,9 @@ HELD_OUT_FOLD = 1
 MOST_DISCOUNTED = 5
 #: Tokens of a shard and, on average, of a part of the tables.
 SHARD_TOKENS = 2_000_000
+#: Words of all shards that a part of the word table has on average; shards hold far fewer
+#: distinct words than tokens, so there are fewer parts of words than of pairs.
+PART_WORDS = 500_000
 #: Histories with more training tokens are split by pair; at most HOT_HISTORIES of them.
 HOT_TOKENS, HOT_HISTORIES = 1_000_000, 10_000
 
@@ -128,11 +131,14 @@ def shard_documents(docs: DataFrame, shard_tokens: int) -> DataFrame:
         f"shard long, doc_ids array<{doc_type}>, lengths binary, train binary, words binary, counts binary, "
         "stream binary, tokens long, train_words long, train_docs long"
     )
+    # Buckets need a table; its name is dropped at once, the files stay in the scratch folder.
     name = f"katz_shards_{uuid.uuid4().hex}"
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
     shards = rows.mapInArrow(gather, schema)
     shards.write.format("parquet").option("path", scratch_path(spark, name)).bucketBy(width, "shard").saveAsTable(name)
-    return spark.table(name)
+    written = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return written
 
 
 def _range_edges(parts: int) -> np.ndarray:
@@ -160,13 +166,14 @@ def count_words(shards: DataFrame, parts: int, hot_tokens: int) -> DataFrame:
             for shard, words, counts in zip(*[batch.column(c).to_pylist() for c in ("shard", "words", "counts")]):
                 words, counts = np.frombuffer(words, np.uint64), unpacked(counts, np.int64)
                 cuts = np.searchsorted(words, edges, side="right")
-                slices = [slice(a, b) for a, b in zip([0, *cuts[:-1]], cuts)]
+                # Only parts that the shard has words of.
+                filled = [(i, slice(a, b)) for i, (a, b) in enumerate(zip([0, *cuts[:-1]], cuts)) if a < b]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(np.arange(parts, dtype=np.int32)),
-                        pa.array([shard] * parts, pa.int64()),
-                        pa.array([words[s].tobytes() for s in slices], pa.binary()),
-                        pa.array([packed(counts[s]) for s in slices], pa.binary()),
+                        pa.array([i for i, _ in filled], pa.int32()),
+                        pa.array([shard] * len(filled), pa.int64()),
+                        pa.array([words[s].tobytes() for _, s in filled], pa.binary()),
+                        pa.array([packed(counts[s]) for _, s in filled], pa.binary()),
                     ],
                     names=["part", "shard", "words", "counts"],
                 )
@@ -386,12 +393,18 @@ def score_documents(docs: DataFrame, shard_tokens: int = SHARD_TOKENS) -> DataFr
     rows every token is unknown.  Other columns are not read.
     """
     shards = shard_documents(docs, shard_tokens)
-    sums = shards.agg(F.sum("tokens").alias("t"), F.sum("train_words").alias("w"), F.sum("train_docs").alias("d")).first()
+    sums = shards.agg(
+        F.sum("tokens").alias("t"),
+        F.sum("train_words").alias("w"),
+        F.sum("train_docs").alias("d"),
+        (F.sum(F.length("words")) / 8).alias("shard_words"),
+    ).first()
     train_docs = int(sums.d or 0)
     n = int(sums.w or 0) + train_docs
     parts = max(1, math.ceil((sums.t or 0) / shard_tokens))
     hot_tokens = max(HOT_TOKENS, n // HOT_HISTORIES)
-    words = materialize(count_words(shards, parts, hot_tokens), "katz-words")
+    word_parts = max(1, math.ceil((sums.shard_words or 0) / min(PART_WORDS, shard_tokens)))
+    words = materialize(count_words(shards, word_parts, hot_tokens), "katz-words")
     word_sums = words.where("kind = 'word-sums'").select("v", "hot").collect()
     v = sum(r.v for r in word_sums) + (1 if train_docs else 0)
     hot = np.concatenate([np.zeros(0, np.uint64), *[np.frombuffer(r.hot, np.uint64) for r in word_sums]])

@@ -69,6 +69,11 @@ def test_scores_match_brute_force(spark, monkeypatch, shard, hot):
         assert a[:5] == b[:5] and np.allclose(a[5:], b[5:], rtol=1e-9)
 
 
+def test_no_table_is_left_in_the_catalog(spark):
+    score_documents(documents(spark)).count()
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("katz")]
+
+
 def test_the_model_sums_to_one():
     model = Brute(_rows())
     for h in list(model.after)[:20] + ["never seen"]:
