@@ -28,8 +28,8 @@ from tablewright.workspace import materialize
 THRESHOLD = 0.8
 TREES, DEPTH = 16, 6
 RECALL = 0.9999
-#: Texts of a block; two blocks meet in one unit of work.
-BLOCK = 256
+#: Texts of a block and, on average, their shingles; two blocks meet in one unit of work.
+BLOCK, BLOCK_SHINGLES = 256, 500_000
 #: Bits of the filter that tells texts of no group apart; its size does not depend on the data.
 FILTER_BITS = 2**26
 #: Signatures that agree this many standard deviations less than expected at the threshold part.
@@ -40,6 +40,7 @@ SIGNED = T.StructType(
         T.StructField("key", T.BinaryType()),
         T.StructField("signature", T.BinaryType()),
         T.StructField("prefixes", T.ArrayType(T.LongType())),
+        T.StructField("n_shingles", T.IntegerType()),
     ]
 )
 
@@ -70,22 +71,28 @@ def _signer(depth: int):
             if not words:
                 rows.append(None)
                 continue
-            values = minhash(shingle_set(words))
+            shingles = shingle_set(words)
+            values = minhash(shingles)
             mixed = turn[:, 0].copy()
             for d in range(depth):
                 mixed = (mixed ^ values[:, d]) * np.uint64(0x9E3779B97F4A7C15)
                 mixed ^= mixed >> np.uint64(31)
             rows.append(
-                {"key": text_key(words), "signature": values.astype(np.uint8).tobytes(), "prefixes": mixed.view(np.int64)}
+                {
+                    "key": text_key(words),
+                    "signature": values.astype(np.uint8).tobytes(),
+                    "prefixes": mixed.view(np.int64),
+                    "n_shingles": len(shingles),
+                }
             )
         return pa.array(rows, to_arrow_type(SIGNED))
 
     return sign
 
 
-def _block_pairs(df: DataFrame, group: str, size: Column) -> DataFrame:
-    """Each row once for every pair of blocks that its own block is in."""
-    blocks = F.greatest(F.lit(1), F.ceil(size / BLOCK)).cast("int")
+def _block_pairs(df: DataFrame, group: str, blocks: Column) -> DataFrame:
+    """Each row once for every pair of blocks that its own block is in, out of ``blocks``."""
+    blocks = F.greatest(F.lit(1), F.ceil(blocks)).cast("int")
     own = df.withColumn("block", F.pmod(F.xxhash64("key"), blocks).cast("int"))
     met = own.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     met = met.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")}).drop("other")
@@ -153,7 +160,8 @@ def _verified(members: DataFrame, threshold: float) -> DataFrame:
             if len(keys) < 2:
                 continue
             copies = np.array(table.column("copies").to_pylist(), np.int64)
-            sets = [np.frombuffer(x, np.uint64) for x in table.column("shingles").to_pylist()]
+            # Views of the batch, not copies.
+            sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("shingles")]
             both = overlaps(sets)
             size = np.diag(both)
             union = size[:, None] + size[None, :] - both
@@ -234,23 +242,23 @@ def text_classes(docs: DataFrame, threshold: float = THRESHOLD, recall: float =
             F.min("doc_id").alias("first_id"),
             F.first("signature").alias("signature"),
             F.first("prefixes").alias("prefixes"),
+            F.first("n_shingles").alias("n_shingles"),
         ),
         "texts",
     )
     placed = texts.select("key", F.explode("prefixes").alias("prefix"))
     buckets = placed.groupBy("prefix").agg(F.count("*").alias("size")).where("size > 1")
     members = placed.join(buckets, "prefix").join(texts.select("key", "signature"), "key")
-    links = _candidate_links(_block_pairs(members, "prefix", F.col("size")), least_agreement(threshold, TREES * DEPTH))
+    links = _candidate_links(_block_pairs(members, "prefix", F.col("size") / BLOCK), least_agreement(threshold, TREES * DEPTH))
     groups = materialize(components(links).withColumnRenamed("node", "key"), "groups")
 
     shingles = _fetch_shingles(docs, KeyFilter(groups))
-    sizes = groups.groupBy("component").agg(F.count("*").alias("size"))
-    verifiable = (
-        groups.join(sizes, "component")
-        .join(texts.select("key", "copies"), "key")
-        .join(shingles, "key")
+    counted = groups.join(texts.select("key", "copies", "n_shingles"), "key")
+    sizes = counted.groupBy("component").agg(
+        F.greatest(F.count("*") / BLOCK, F.sum("n_shingles") / BLOCK_SHINGLES).alias("blocks")
     )
-    verified = materialize(_verified(_block_pairs(verifiable, "component", F.col("size")), threshold), "verified")
+    verifiable = counted.drop("n_shingles").join(sizes, "component").join(shingles, "key")
+    verified = materialize(_verified(_block_pairs(verifiable, "component", F.col("blocks")), threshold), "verified")
     linked = verified.where("links is not null").groupBy(F.col("a").alias("key")).agg(F.sum("links").alias("links"))
     classes = components(verified.where("links is null").select("a", "b")).select(
         F.col("node").alias("key"), F.col("component").alias("class_key")

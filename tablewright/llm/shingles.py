@@ -12,6 +12,8 @@ STEP = np.uint64(0x9E3779B97F4A7C15)
 #: Groups up to this size are compared pair by pair, larger ones by matrix products.
 FEW = 12
 COLUMNS = 4096
+#: Larger groups are compared range by range of the hashes, about so many shingles at once.
+VALUES = 500_000
 
 
 def text_key(words: list[bytes]) -> bytes:
@@ -51,8 +53,32 @@ class MinHash:
         return out.reshape(self.trees, self.depth)
 
 
+def _common(sets: list[np.ndarray]) -> np.ndarray:
+    """Sizes of all pairwise intersections, by products of blocks of the shared values' incidences."""
+    m = len(sets)
+    out = np.zeros((m, m), np.int64)
+    values = np.concatenate(sets)
+    owner = np.repeat(np.arange(m), [len(s) for s in sets])
+    _, column, times = np.unique(values, return_inverse=True, return_counts=True)
+    shared = times[column] > 1
+    column, owner = column[shared], owner[shared]
+    order = np.argsort(column, kind="stable")
+    column, owner = np.unique(column[order], return_inverse=True)[1], owner[order]
+    width = int(column[-1]) + 1 if len(column) else 0
+    for at in range(0, width, COLUMNS):
+        a, b = np.searchsorted(column, [at, at + COLUMNS])
+        held = np.zeros((m, min(COLUMNS, width - at)), np.float32)
+        held[owner[a:b], column[a:b] - at] = 1.0
+        # Sums of at most COLUMNS ones are exact in single precision.
+        out += (held @ held.T).astype(np.int64)
+    return out
+
+
 def overlaps(sets: list[np.ndarray]) -> np.ndarray:
-    """Sizes of all pairwise intersections."""
+    """Sizes of all pairwise intersections of sorted sets; the sizes of the sets on the diagonal.
+
+    What is held beside the sets does not grow with their lengths.
+    """
     m = len(sets)
     out = np.zeros((m, m), np.int64)
     if m <= FEW:
@@ -60,20 +86,11 @@ def overlaps(sets: list[np.ndarray]) -> np.ndarray:
             for j in range(i):
                 out[i, j] = out[j, i] = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
     else:
-        values = np.concatenate(sets)
-        owner = np.repeat(np.arange(m), [len(s) for s in sets])
-        _, column, times = np.unique(values, return_inverse=True, return_counts=True)
-        shared = times[column] > 1
-        column, owner = column[shared], owner[shared]
-        order = np.argsort(column, kind="stable")
-        column, owner = np.unique(column[order], return_inverse=True)[1], owner[order]
-        width = int(column[-1]) + 1 if len(column) else 0
-        for at in range(0, width, COLUMNS):
-            a, b = np.searchsorted(column, [at, at + COLUMNS])
-            held = np.zeros((m, min(COLUMNS, width - at)), np.float32)
-            held[owner[a:b], column[a:b] - at] = 1.0
-            # Sums of at most COLUMNS ones are exact in single precision.
-            out += (held @ held.T).astype(np.int64)
+        ranges = -(-sum(map(len, sets)) // VALUES) or 1
+        edges = np.array([2**64 * i // ranges for i in range(1, ranges)], np.uint64)
+        cuts = [[0, *np.searchsorted(s, edges), len(s)] for s in sets]
+        for i in range(ranges):
+            out += _common([s[c[i] : c[i + 1]] for s, c in zip(sets, cuts)])
     np.fill_diagonal(out, [len(s) for s in sets])
     return out
 

@@ -5,7 +5,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 
-from tablewright.llm import jaccard_join
+from tablewright.llm import jaccard_join, shingles
 from tablewright.llm.components import components
 from tablewright.llm.jaccard_join import join_similar, keep_one, prefix_depth
 from tablewright.llm.shingles import overlaps, spanning
@@ -55,9 +55,10 @@ def _plain(rows):
     return sorted((-1 if a is None else a, -1 if b is None else b, c) for a, b, c in rows)
 
 
-@pytest.mark.parametrize("block", [384, 4])
-def test_links_match_brute_force(spark, monkeypatch, block):
+@pytest.mark.parametrize(("block", "block_shingles"), [(384, 10**6), (4, 10**6), (384, 300)])
+def test_links_match_brute_force(spark, monkeypatch, block, block_shingles):
     monkeypatch.setattr(jaccard_join, "BLOCK", block)
+    monkeypatch.setattr(jaccard_join, "BLOCK_SHINGLES", block_shingles)
     rows = _corpus()
     got = join_similar(documents(spark, rows)).collect()
     want, _ = _brute(rows)
@@ -85,9 +86,11 @@ def test_prefix_is_shortened_to_the_recall():
     assert prefix_depth(0.8, 1, 6, 0.999999) == 1
 
 
-def test_overlaps_and_spanning():
+@pytest.mark.parametrize("values", [10**6, 700])
+def test_overlaps_and_spanning(monkeypatch, values):
+    monkeypatch.setattr(shingles, "VALUES", values)
     rng = np.random.default_rng(1)
-    sets = [np.unique(rng.integers(0, 300, rng.integers(0, 200)).astype(np.uint64)) for _ in range(40)]
+    sets = [np.unique(rng.integers(0, 300, rng.integers(0, 200)).astype(np.uint64) * shingles.STEP) for _ in range(40)]
     want = [[len(set(a) & set(b)) for b in sets] for a in sets]
     assert (overlaps(sets) == want).all() and (overlaps(sets[:5]) == np.array(want)[:5, :5]).all()
     linked = np.zeros((6, 6), bool)
