@@ -1,7 +1,65 @@
 from __future__ import annotations
 
+from collections import Counter
+
 import corpus_pipeline
-from tests.llm.awkward import documents
+from pyspark.sql import functions as F
+
+from tablewright.llm.decontaminate import decontaminate
+from tablewright.llm.jaccard_join import join_similar
+from tablewright.llm.site_quality import classify_by_site
+from tablewright.llm.toxicity import score_toxicity
+from tablewright.plans.views import table
+from tests.llm.awkward import PASSAGE, ROWS, documents
+
+STAGES = dict(corpus_pipeline.STAGES)
+
+
+def _rows(df):
+    return Counter(map(str, df.collect()))
+
+
+def _judged(docs, verdicts):
+    """The rows of ``docs`` whose id has no verdict against it; null ids are ids."""
+    bad = verdicts.select(F.col("doc_id").alias("bad")).distinct()
+    return _rows(docs.join(bad, F.col("doc_id").eqNullSafe(F.col("bad")), "left_anti"))
+
+
+def test_quality_keeps_what_its_operator_keeps(spark, small):
+    docs = documents(spark)
+    got = classify_by_site(docs, table(spark, small, "labels"))
+    # The rows of one id differ in nothing that is judged, or have one verdict.
+    assert _rows(STAGES["quality"](spark, docs, small)) == _judged(docs, got.where("not kept"))
+
+
+def test_toxicity_keeps_what_is_not_predicted(spark, small):
+    docs = documents(spark, [*ROWS, (900, "you pathetic worthless idiot, shut up moron", "en", "a")])
+    got = score_toxicity(docs, table(spark, small, "labels"))
+    assert _rows(STAGES["toxicity"](spark, docs, small)) == _judged(docs, got.where("predicted = 1"))
+
+
+def test_near_duplicates_keeps_one_row_a_class(spark, small):
+    docs = documents(spark)
+    kept = STAGES["near_duplicates"](spark, docs, small)
+    classes = {r.class_id for r in join_similar(docs).collect()}
+    ids = [r.doc_id for r in kept.collect()]
+    assert set(ids) == classes and len(ids) == len(classes)
+    assert not _rows(kept) - _rows(docs)
+
+
+def test_decontamination_drops_what_is_contaminated(spark, small):
+    item = table(spark, small, "benchmark").where("length(text) > 100").first().text
+    docs = documents(spark, [*ROWS, (900, item, "en", "a"), (901, f"{item} {PASSAGE * 20}", "en", "a")])
+    got = decontaminate(docs, table(spark, small, "benchmark"))
+    kept = STAGES["decontamination"](spark, docs, small)
+    assert _rows(kept) == _judged(docs, got.where("contaminated"))
+    assert 900 not in {r.doc_id for r in kept.collect()}
+
+
+def test_mixing_takes_words_only(spark, small):
+    got = STAGES["mixing"](spark, documents(spark), small).collect()
+    sizes = {r[0]: len((r[1] or "").split()) for r in ROWS}
+    assert got and {r.doc_id for r in got} <= {i for i, n in sizes.items() if n}
 
 
 def test_stages_keep_columns_and_only_drop_rows(spark, small):

@@ -8,7 +8,7 @@ import pytest
 from tablewright.llm import boosted_trees, doc_stats
 from tablewright.llm.quality_rules import apply_quality_rules
 from tablewright.llm.site_quality import classify_by_site, keep_good, site_posteriors
-from tests.llm.awkward import ROWS, documents, labels
+from tests.llm.awkward import ROWS, documents, fold, labels
 
 
 def _by_hand(text):
@@ -106,3 +106,52 @@ def test_sparse_sites_stay_near_the_level_above(spark):
     assert abs(by["tiny"] - share) < abs(by["bad"] - share)
     assert 0 < by["tiny"] < share < by[None] < 1
     assert {(r.host, r.path) for r in paths.collect()} == {("big", "p"), ("bad", "p"), ("tiny", "q"), (None, None)}
+
+
+def _concentration(groups, expected):
+    """Pseudo-documents by moments, from {group: (n, good)} and the expected share of each."""
+    n = np.array([g[0] for g in groups.values()], float)
+    share = np.array([g[1] for g in groups.values()]) / n
+    e = np.array([expected[k] for k in groups])
+    within = e * (1 - e)
+    between = max(0.0, ((n * (share - e) ** 2).sum() - within.sum()) / n.sum())
+    return min(1e6, max(1.0, (n * within).sum() / n.sum() / between - 1)) if between > 0 else 1e6
+
+
+def _shrunk(groups, expected):
+    m = _concentration(groups, expected)
+    return {k: (good + m * expected[k]) / (n + m) for k, (n, good) in groups.items()}
+
+
+def _counted(rows, key):
+    out = {}
+    for r in rows:
+        n, good = out.get(key(r), (0, 0))
+        out[key(r)] = (n + 1, good + r[2])
+    return out
+
+
+def test_posteriors_match_a_plain_calculation(spark):
+    rng = np.random.default_rng(8)
+    rates = {f"h{i}": rng.uniform(0.05, 0.95) for i in range(12)} | {None: 0.4}
+    hosts = list(rates)
+    rows = []
+    for i in range(900):
+        host = hosts[int(rng.integers(0, len(hosts))) if i % 3 else 0]
+        path = [None, "p", "q"][int(rng.integers(0, 3))]
+        rows.append((i, f"some plain words {i}", path, host, int(rng.random() < rates[host])))
+    docs = documents(spark, [r[:4] for r in rows])
+    known = labels(spark, [(r[0], r[4], 0, "t", 1) for r in rows])
+    got = {r.doc_id: r for r in classify_by_site(docs, known).collect()}
+
+    learnt = [(r[3], r[2], r[4]) for r in rows if fold(r[0]) != 0]
+    share = (sum(r[2] for r in learnt) + 1) / (len(learnt) + 2)
+    by_host = _shrunk(_counted(learnt, lambda r: r[0]), dict.fromkeys(hosts, share))
+    by_path = _counted(learnt, lambda r: r[:2])
+    by_path = _shrunk(by_path, {k: by_host[k[0]] for k in by_path})
+    for i, _, path, host, _ in rows:
+        r = got[i]
+        prior = by_path.get((host, path), by_host[host])
+        odds = r.text_evidence + np.log(prior / (1 - prior))
+        assert np.allclose([r.host_share, r.path_share, r.p_good], [by_host[host], prior, 1 / (1 + np.exp(-odds))], rtol=1e-9)
+        assert r.kept == (r.p_good >= 0.5) and r.held_out == (fold(i) == 0)
