@@ -1,4 +1,9 @@
-"""Cleaning and mixing a corpus in five stages; each reads what the one before has written."""
+"""Cleaning and mixing a corpus in five stages; each reads what the one before has written.
+
+Every stage takes any documents (doc_id, text, source, lang and whatever else they hold) and all
+but the last return the rows they keep unchanged, with all columns.  Repeated rows are judged
+alike.  An empty table stays empty.  Columns with names that operators use are carried along.
+"""
 
 from __future__ import annotations
 
@@ -14,27 +19,44 @@ from tablewright.workspace import materialize
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the site-aware quality classifier keeps."""
+    """The documents that the site-aware quality classifier keeps: probability 0.5 or more.
+
+    A null or empty text is judged by its statistics, all 0, and its site; a null source or lang
+    is a site like any other.
+    """
     return keep_good(docs, table(spark, sf_dir, "labels"))
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that are not predicted to be toxic."""
+    """The documents that are not predicted to be toxic: score under 0.5, ties go.
+
+    A null or empty text scores as a text without any similarity.
+    """
     return keep_clean(docs, table(spark, sf_dir, "labels"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near duplicates."""
+    """One document of each class of near duplicates: the one with the smallest doc_id, null last.
+
+    Of several rows with that id one stays.  Texts that are null or hold no words all stay.
+    """
     return keep_one(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that are not contaminated with benchmark passages."""
+    """The documents that are not contaminated with benchmark passages.
+
+    A null or empty text has no hits and stays.
+    """
     return drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix: each document it takes, with its words and how many of them are taken."""
+    """The mix: each document it takes, with its words and how many of them are taken.
+
+    Documents without words, null ones among them, take nothing and are left out.  A null source
+    is a source, the last one in order.
+    """
     mixed = mix_sources(docs)
     return mixed.where(F.col("taken") > 0)
 
