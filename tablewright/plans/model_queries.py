@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import lru_cache
 
 from pyspark.ml import Pipeline
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
@@ -12,13 +11,13 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tablewright.functions.scalars import rounded
-from tablewright.operators import clustering, estimators, features, recommend, sampling, splits, tuning
+from tablewright.operators import clustering, estimators, features, ledger, recommend, sampling, splits, tuning
 from tablewright.plans import views
 from tablewright.plans.feature_queries import LINE_FEATURES
 from tablewright.plans.oracle_views import over
 from tablewright.plans.registry import query
 from tablewright.sources import models
-from tablewright.workspace import kept, materialize, scratch_path
+from tablewright.workspace import kept, lasting_path, materialize, scratch_path
 
 DOC_FEATURES = ["n_chars", "n_spaces", "n_periods", "e_ratio"]
 SEED = 12345
@@ -315,14 +314,16 @@ def param_grid(spark: SparkSession, d: str) -> DataFrame:
     return tuning.score_grid(views.doc_features(spark, d), tuning.grid_points(RULE_GRID), correct)
 
 
-@lru_cache(maxsize=1)
 def search_trees(spark: SparkSession, d: str):
-    return tuning.cross_validate(
+    """The whole tree grid over ten folds.  Fits that its ledger holds for these very rows, from an
+    earlier or a broken-off search, are not made again."""
+    return ledger.cross_validate_resumable(
         doc_rows(spark, d),
         ["doc_id"],
         estimators.make("dtree_classify"),
         BinaryClassificationEvaluator(),
         tuning.GRIDS["dtree_classify"],
+        lasting_path(spark, "searches"),
     )
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tablewright.functions import scalars
 from tablewright.functions.scalars import rounded
-from tablewright.operators import metrics, relational, sampling
+from tablewright.operators import key_filter, metrics, relational, sampling
 from tablewright.plans import views
 from tablewright.plans.oracle_views import over
 from tablewright.plans.registry import query
@@ -570,3 +570,15 @@ def regex_predicate(spark: SparkSession, d: str) -> DataFrame:
         F.col("p_name").startswith("small").alias("is_small"),
         F.col("p_name").rlike("^(small|red) .*(ring|widget)$").alias("flag"),
     )
+
+
+@query(
+    "semi_join_long_list",
+    """SELECT l_orderkey, l_linenumber FROM lineitem
+       WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderpriority = '1-URGENT')""",
+)
+def semi_join_long_list(spark: SparkSession, d: str) -> DataFrame:
+    """Lines of urgent orders; a filter made of the orders' keys thins the lines out in their scan."""
+    urgent = views.table(spark, d, "orders").where(F.col("o_orderpriority") == "1-URGENT")
+    lines = views.table(spark, d, "lineitem").select("l_orderkey", "l_linenumber")
+    return key_filter.filtered_semi_join(lines, urgent.select(F.col("o_orderkey").alias("l_orderkey")), ["l_orderkey"])

@@ -13,7 +13,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tablewright.functions.scalars import rounded
-from tablewright.operators import estimators, features, sampling, tuning
+from tablewright.operators import estimators, features, ledger, sampling, tuning
 from tablewright.plans import views
 from tablewright.plans.registry import query
 from tablewright.plans.sampling_queries import CLASS_FRACTIONS, STRATUM_SEED
@@ -36,22 +36,20 @@ def tuned_report(
     folds: int = tuning.FOLDS,
     train_weight: float = 0.6,
     seed: int = 12345,
+    ledger_root: str | None = None,
 ) -> DataFrame:
     """(split, n_rows, metric, value) of the best grid point, on rows the search never saw.
 
     Without ``axes`` the estimator's full grid is searched, points that give one and the same
-    fit once.
+    fit once.  With ``ledger_root``, a lasting folder, a search that broke off is gone on with.
     """
     train, test = sampling.train_test(rows, keys, train_weight, seed)
-    model = tuning.cross_validate(
-        train,
-        keys,
-        estimators.make(name),
-        EVALUATORS[kind](),
-        tuning.telling_axes(name) if axes is None else axes,
-        folds,
-        seed,
-    )
+    axes = tuning.telling_axes(name) if axes is None else axes
+    search = (train, keys, estimators.make(name), EVALUATORS[kind](), axes)
+    if ledger_root is None:
+        model = tuning.cross_validate(*search, folds, seed)
+    else:
+        model = ledger.cross_validate_resumable(*search, ledger_root, folds, seed)
     return estimators.score_report(model, test.withColumn("split", F.lit("test")), kind)
 
 

@@ -21,11 +21,17 @@ _local_root: str | None = None
 
 def scratch_root(spark: SparkSession) -> str:
     """Folder, visible to every executor, under which this application writes."""
+    return f"{_base(spark)}/tablewright-{spark.conf.get('spark.app.id', 'session')}"
+
+
+def lasting_path(spark: SparkSession, name: str) -> str:
+    """A folder of this name that a later application finds again."""
+    return f"{_base(spark)}/tablewright-{name}"
+
+
+def _base(spark: SparkSession) -> str:
     base = spark.conf.get(CHECKPOINT_KEY, None)
-    if base is None:
-        base = _local_scratch(spark)
-    app = spark.conf.get("spark.app.id", "session")
-    return f"{base.rstrip('/')}/tablewright-{app}"
+    return (_local_scratch(spark) if base is None else base).rstrip("/")
 
 
 def _local_scratch(spark: SparkSession) -> str:
@@ -43,16 +49,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 @contextmanager
-def kept(df: DataFrame, spread_by: list[str] | None = None) -> Iterator[DataFrame]:
+def kept(
+    df: DataFrame, spread_by: list[str] | None = None, most_parts: int | None = None
+) -> Iterator[DataFrame]:
     """``df`` held in memory and on disk while a fit passes over it several times.
 
     Nothing depends on the stored copy: a share lost with its executor is computed again.
     With ``spread_by``, a unique key, rows are laid out by that key in as many partitions as
-    the session shuffles to, and sorted inside them, before the one copy is stored.  Fits that
-    draw by position then see the same layout whatever the table size or the cores.
+    the session shuffles to, at most ``most_parts``, and sorted inside them, before the one copy is
+    stored.  Fits that draw by position then see the same layout whatever the cores.
     """
     if spread_by:
         width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        width = max(1, min(width, most_parts or width))
         df = df.repartition(width, *spread_by).sortWithinPartitions(*spread_by)
     stored = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
