@@ -18,7 +18,7 @@ from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from tablewright.operators.features import fixed_width_rows
 from tablewright.operators.metrics import silhouette
-from tablewright.workspace import kept
+from tablewright.workspace import fits_at_once, kept
 
 # Fixed value: seed of every k-means fit.
 KMEANS_SEED = 12345
@@ -48,7 +48,7 @@ def sweep_clusters(
     df: DataFrame,
     ks: Iterable[int] = SWEEP,
     features: str = "features",
-    parallelism: int = 4,
+    parallelism: int | None = None,
     with_silhouette: bool = True,
     spread_by: list[str] | None = None,
 ) -> DataFrame:
@@ -66,7 +66,7 @@ def sweep_clusters(
             score = silhouette(model.transform(vectors), features) if with_silhouette else None
             return k, float(model.summary.trainingCost), score
 
-        with ThreadPool(parallelism) as pool:
+        with ThreadPool(parallelism or fits_at_once(vectors)) as pool:
             rows = pool.map(one, list(ks), chunksize=1)
     return spark.createDataFrame(rows, "k int, cost double, silhouette double")
 

@@ -25,8 +25,6 @@ from tablewright.operators.tuning import FOLDS, param_maps
 from tablewright.workspace import kept, materialize
 
 LEDGER = "point string, fold int, metric double"
-#: Rows of one partition of the stored table that all fits read.
-PARTITION_ROWS = 100_000
 
 
 def described(stage: Params) -> str:
@@ -133,7 +131,7 @@ def cross_validate_resumable(
         append_fits(spark, folder, rows)
         done.update({(point, fold): metric for point, fold, metric in rows})
 
-    with kept(folded, spread_by=keys, most_parts=-(-sum(sizes) // PARTITION_ROWS)) as stored:
+    with kept(folded, spread_by=keys, n_rows=sum(sizes)) as stored:
 
         def fit(point: dict, fold: int) -> Callable[[], float]:
             return lambda: fit_and_judge(stored, estimator, evaluator, point, fold)

@@ -11,7 +11,7 @@ from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuil
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tablewright.operators.sampling import assign_folds
-from tablewright.workspace import kept
+from tablewright.workspace import fits_at_once, kept
 
 # The full grid searched for each estimator, and the number of folds.
 FOLDS = 10
@@ -85,7 +85,7 @@ def cross_validate(
     axes: dict[str, Sequence],
     folds: int = FOLDS,
     seed: int = 12345,
-    parallelism: int = 4,
+    parallelism: int | None = None,
 ) -> CrossValidatorModel:
     """Search the grid over folds fixed by a hash of each row's key.
 
@@ -100,10 +100,9 @@ def cross_validate(
         numFolds=folds,
         foldCol="fold",
         seed=seed,
-        parallelism=parallelism,
     )
     with kept(folded, spread_by=keys) as stored:
-        return search.fit(stored)
+        return search.setParallelism(parallelism or fits_at_once(stored)).fit(stored)
 
 
 def grid_rows(spark: SparkSession, model: CrossValidatorModel, larger_is_better: bool) -> DataFrame:

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tablewright.operators import clustering, features, metrics
+from tablewright.workspace import kept
 
 
 @pytest.fixture(scope="module")
@@ -78,3 +79,16 @@ def test_fixed_seed_gives_the_same_clusters(blobs):
     a = clustering.assign_clusters(blobs, 3).agg(F.sum(F.col("id") * F.col("prediction"))).first()[0]
     b = clustering.assign_clusters(blobs, 3).agg(F.sum(F.col("id") * F.col("prediction"))).first()[0]
     assert a == b
+
+
+def test_small_tables_are_not_spread_over_the_session_s_partitions(spark, blobs):
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "64")
+    try:
+        with kept(blobs, spread_by=["id"]) as rows:
+            assert rows.rdd.getNumPartitions() == 1
+        with kept(blobs, spread_by=["id"], n_rows=250_000) as rows:
+            assert rows.rdd.getNumPartitions() == 10 and rows.count() == 300
+    finally:
+        spark.conf.set(key, before)
