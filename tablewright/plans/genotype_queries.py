@@ -172,7 +172,7 @@ def variant_vectors(spark: SparkSession, d: str) -> DataFrame:
 def population_sweep(spark: SparkSession, d: str) -> DataFrame:
     """(k, cost, silhouette) on the components of the samples' variants."""
     chosen = panel_samples(panel(spark, d), POPULATIONS)
-    points = genotypes.sample_points(views.genotype(spark, d), chosen)
+    points = genotypes.sample_points(views.relative_genotype(spark, d), chosen)
     points = materialize(points, "sample-points")
     # A silhouette needs fewer clusters than points.
     most = points.count() - 1
@@ -184,7 +184,7 @@ def population_sweep(spark: SparkSession, d: str) -> DataFrame:
 def population_clusters(spark: SparkSession, d: str) -> DataFrame:
     """Samples of the chosen populations, clustered on five components of their variants."""
     chosen = panel_samples(panel(spark, d), POPULATIONS)
-    calls = views.genotype(spark, d)
+    calls = views.relative_genotype(spark, d)
     clusters = genotypes.population_clusters(calls, chosen)
     return clusters.join(chosen, "sample").select("sample", "population", F.col("prediction").alias("cluster"))
 
@@ -193,5 +193,5 @@ def population_clusters(spark: SparkSession, d: str) -> DataFrame:
 def population_range_clusters(spark: SparkSession, d: str) -> DataFrame:
     """The whole chain with the range: semi-join, full calls, share of carriers, vectors, clusters."""
     chosen = panel_samples(panel(spark, d), POPULATIONS)
-    clusters = genotypes.population_clusters(views.genotype(spark, d), chosen, CLUSTERED_LOW, CLUSTERED_HIGH)
+    clusters = genotypes.population_clusters(views.relative_genotype(spark, d), chosen, CLUSTERED_LOW, CLUSTERED_HIGH)
     return clusters.join(chosen, "sample").select("sample", "population", F.col("prediction").alias("cluster"))

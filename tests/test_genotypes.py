@@ -180,3 +180,19 @@ def test_ranges_leave_rows_at_every_size(spark, size):
     every = genotype_queries.views.genotype(spark, folder).select("variant").distinct().count()
     assert 0 < kept.select("variant").distinct().count() < every
     assert {r.cluster for r in genotype_queries.population_range_clusters(spark, folder).collect()} == {0, 1}
+
+
+def test_population_queries_have_variants_when_every_cell_has_many_rare_lines(spark, tmp_path):
+    """Lines repeated under other orders: every capped count is 2, the shares stay."""
+    views = genotype_queries.views
+    for name in ("part", "supplier", "nation", "region"):
+        views.table(spark, "/root/testdata/sf0.01", name).write.parquet(f"{tmp_path}/{name}.parquet")
+    lines = views.table(spark, "/root/testdata/sf0.01", "lineitem")
+    copies = lines.withColumn("l_orderkey", F.explode(F.sequence(F.col("l_orderkey"), F.col("l_orderkey") + 900_000, F.lit(100_000))))
+    flat = copies.withColumns({"l_discount": F.lit(0.1), "l_quantity": F.lit(50.0)})
+    # A few lines of every cell are rare already: with more of them only shares differ.
+    flat.where("l_orderkey % 7 = 0").unionByName(copies).write.parquet(f"{tmp_path}/lineitem.parquet")
+    assert views.genotype(spark, str(tmp_path)).agg(F.min("alt_count")).first()[0] == 2
+    assert {r.cluster for r in genotype_queries.population_clusters(spark, str(tmp_path)).collect()} == {0, 1}
+    assert {r.cluster for r in genotype_queries.population_range_clusters(spark, str(tmp_path)).collect()} == {0, 1}
+    assert genotype_queries.population_sweep(spark, str(tmp_path)).count() > 0
