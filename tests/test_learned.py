@@ -144,3 +144,17 @@ def test_a_clustering_off_its_fixed_point_is_seen(spark):
     assert got == {0: (2, 0.0, 0), 1: (2, 0.0, 1)}
     off = optimality.cluster_fixed_point(points, centres.withColumn("centre", F.array(F.lit(1.0), F.lit(1.0)))).collect()
     assert max(r.shift for r in off) == pytest.approx(2.0)
+
+
+def test_residuals_without_the_equations_are_those_of_the_equations(spark):
+    """And what is moved to add them up is one vector a user, never the cells of a matrix."""
+    cells, ratings = _ratings(spark)
+    rng = np.random.default_rng(8)
+    items = spark.createDataFrame([(i, rng.normal(size=6).tolist()) for i in range(25)], "id int, features array<float>")
+    users = spark.createDataFrame([(u, rng.normal(size=6).tolist()) for u in range(30)], "id int, features array<float>")
+    want = {r.user: (r.n, r.residual) for r in optimality.equation_residuals(optimality.user_equations(ratings, items, 0.1), users).collect()}
+    found = optimality.factor_residuals(ratings, items, users, 0.1)
+    got = {r.user: (r.n, r.residual) for r in found.collect()}
+    assert got.keys() == want.keys() and all(got[u] == (want[u][0], pytest.approx(want[u][1], rel=1e-9)) for u in want)
+    plan = QUERIES["als_equations"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan
