@@ -10,13 +10,14 @@ from pyspark.ml.evaluation import (
     RegressionEvaluator,
 )
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tablewright.functions.scalars import rounded
 from tablewright.operators import estimators, features, ledger, sampling, tuning
 from tablewright.plans import views
 from tablewright.plans.registry import query
 from tablewright.plans.sampling_queries import CLASS_FRACTIONS, STRATUM_SEED
+from tablewright.workspace import materialize
 
 EVALUATORS = {
     "binary": BinaryClassificationEvaluator,
@@ -53,6 +54,12 @@ def tuned_report(
     return estimators.score_report(model, test.withColumn("split", F.lit("test")), kind)
 
 
+def account_numbers(accounts: DataFrame, names: list[str], positive: Column) -> DataFrame:
+    """Key, plan, label and these numbers, written once: the indexer, the search and the scores start from them."""
+    rows = accounts.select("cust_id", "plan", *names, positive.cast("double").alias("label"))
+    return materialize(rows, "account-numbers")
+
+
 def churn_rows(spark: SparkSession, d: str, positive_class: str = "True") -> DataFrame:
     """Customers down-sampled by class, plan indexed, account columns assembled.
 
@@ -60,7 +67,7 @@ def churn_rows(spark: SparkSession, d: str, positive_class: str = "True") -> Dat
     """
     accounts = views.customer_account(spark, d)
     kept = sampling.stratified_sample(accounts, "churn", CLASS_FRACTIONS, ["cust_id"], STRATUM_SEED)
-    labelled = kept.withColumn("label", (F.col("churn") == positive_class).cast("double"))
+    labelled = account_numbers(kept, ACCOUNT_FEATURES, F.col("churn") == positive_class)
     prepared = features.fit_feature_pipeline(labelled, ACCOUNT_FEATURES, ["plan"]).transform(labelled)
     # As plain numbers: small bin counts of the grid could not hold a nominal column's values.
     plain = array_to_vector(vector_to_array("features"))
@@ -82,7 +89,7 @@ def tuned_logistic(spark: SparkSession, d: str) -> DataFrame:
 @query("tuned_naive_bayes")
 def tuned_naive_bayes(spark: SparkSession, d: str) -> DataFrame:
     """Multinomial weights need counts: the account's order counts and the plan's index."""
-    accounts = views.customer_account(spark, d).withColumn("label", (F.col("churn") == "True").cast("double"))
+    accounts = account_numbers(views.customer_account(spark, d), ["n_orders", "n_urgent"], F.col("churn") == "True")
     rows = features.fit_feature_pipeline(accounts, ["n_orders", "n_urgent"], ["plan"]).transform(accounts)
     return tuned_report(rows.select("cust_id", "label", "features"), ["cust_id"], "naive_bayes_classify", "binary")
 
