@@ -23,6 +23,10 @@ from tablewright.workspace import fits_at_once, kept
 # Fixed value: seed of every k-means fit.
 KMEANS_SEED = 12345
 
+# Centres that move by no more than this share of the largest number rest; no limit of steps.
+RESTING = 1e-12
+ANY_STEPS = 2**31 - 1
+
 # The cluster counts of a sweep.
 SWEEP = range(2, 21)
 
@@ -31,6 +35,17 @@ def fit_kmeans(df: DataFrame, k: int, features: str = "features", seed: int = KM
     return KMeans(k=k, seed=seed, featuresCol=features).fit(df)
 
 
+def settled_kmeans(df: DataFrame, k: int, features: str = "features", seed: int = KMEANS_SEED) -> KMeansModel:
+    """A fit whose steps go on until its centres rest, however many steps the rows ask for.
+
+    A row that changes its cluster moves a centre by far more than ``RESTING`` of the largest
+    number; sums that tasks hand over in another order move it by less, so steps do end.
+    """
+    sizes = F.transform(vector_to_array(features), F.abs)
+    largest = df.agg(F.max(F.array_max(sizes)).alias("largest")).first().largest
+    return KMeans(k=k, seed=seed, featuresCol=features, maxIter=ANY_STEPS, tol=RESTING * (largest or 0.0)).fit(df)
+
+
 def assign_clusters(df: DataFrame, k: int, features: str = "features") -> DataFrame:
     return fit_kmeans(df, k, features).transform(df)
 

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import numpy as np
 import pytest
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from tablewright.operators import clustering, features, metrics
@@ -92,3 +93,15 @@ def test_small_tables_are_not_spread_over_the_session_s_partitions(spark, blobs)
             assert rows.rdd.getNumPartitions() == 10 and rows.count() == 300
     finally:
         spark.conf.set(key, before)
+
+
+def test_a_fit_goes_on_until_its_centres_rest(spark):
+    """These rows ask for more than the 300 steps that such fits once ended after."""
+    rows = spark.range(0, 20000, 1, 1).select(F.exp(F.col("id") / 5000).alias("x"))
+    vectors = rows.select(array_to_vector(F.array("x")).alias("features")).cache()
+    model = clustering.settled_kmeans(vectors, 20)
+    assert model.summary.numIter > 300
+    x = np.array([r.x for r in rows.collect()])
+    centres = np.array(model.clusterCenters())[:, 0]
+    own = np.abs(x[:, None] - centres).argmin(axis=1)
+    assert np.abs([x[own == i].mean() - c for i, c in enumerate(centres)]).max() <= 1e-9
