@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tablewright.operators.fingerprints import table_fingerprint
 from tablewright.operators.sampling import assign_folds
-from tablewright.operators.tuning import FOLDS, param_maps
+from tablewright.operators.tuning import FOLDS, fit_and_judge, param_maps
 from tablewright.workspace import kept, materialize
 
 LEDGER = "point string, fold int, metric double"
@@ -93,12 +93,6 @@ def run_fits(
         raise failed
 
 
-def fit_and_judge(stored: DataFrame, estimator: Estimator, evaluator: Evaluator, point: dict, fold: int) -> float:
-    """The metric on one fold of the model fitted on all others."""
-    model = estimator.fit(stored.where(F.col("fold") != fold), point)
-    return float(evaluator.evaluate(model.transform(stored.where(F.col("fold") == fold), point)))
-
-
 def cross_validate_resumable(
     df: DataFrame,
     keys: list[str],
