@@ -5,7 +5,8 @@ from __future__ import annotations
 import numpy as np
 
 ORDER, DECAY = 4, 0.6
-CHUNK = 8192
+#: Units compared at once: their sums are to stay in a core's cache.
+CHUNK = 4096
 
 
 #: A letter that its writer hid: it matches every letter by this much.
@@ -27,16 +28,23 @@ def kernels(words: np.ndarray, letters: np.ndarray, order: int = ORDER, decay: f
     near[0] = 1.0
     total = np.zeros((order, n), dtype=np.float32)
     hidden = letters == MASK
+    any_hidden = bool(hidden.any())
+    filled = letters != 0
+    # Written over letter by letter: fresh arrays of this size would cost more than the sums.
+    equal, same = np.empty((q, n), dtype=bool), np.empty((q, n), dtype=np.float32)
+    steps, ends = np.empty((order, q, n), dtype=np.float32), np.empty((order - 1, q, n), dtype=np.float32)
     for k in range(length):
         word = words[:, k][None, :]
-        same = ((word == letters) & (letters != 0)).astype(np.float32)
-        if (word == MASK).any() or hidden.any():
-            half = ((word == MASK) ^ hidden) & (word != 0) & (letters != 0)
-            same = np.where(half, np.float32(MASKED), same)
-        same = same * square
-        steps = same * near[:, :q]
+        np.equal(word, letters, out=equal)
+        np.logical_and(equal, filled, out=equal)
+        np.multiply(equal, square, out=same)
+        masked = word == MASK
+        if any_hidden or masked.any():
+            half = (masked ^ hidden) & (word != 0) & filled
+            same[half] = np.float32(MASKED) * square
+        np.multiply(same, near[:, :q], out=steps)
         total += steps.sum(axis=1)
-        ends = fading @ steps[: order - 1]
+        np.matmul(fading, steps[: order - 1], out=ends)
         near[1:, 1:] *= np.float32(decay)
         near[1:, 1:] += ends
     return total

@@ -61,21 +61,22 @@ def units_of(text: str | None) -> set[bytes]:
     """Units of the whole text; long ones as overlapping stretches."""
     whole = (text or "").lower().encode()
     words = whole.translate(None, DROPPED).split()
-    units = {w for w in words if len(w) >= 2}
+    units = {w for w in set(words) if len(w) >= 2}
     for w in set(whole.split()):
+        # A word of letters alone, as most are, stays as it is.
+        if w.isalpha():
+            continue
         w = w.strip(AT_ENDS)
         if not w.isalpha():
             w = w.translate(HIDDEN)
             if string_kernel.MASK in w and len(w) >= 3 and w.count(string_kernel.MASK) < len(w) - 1:
                 units.add(w)
-    run: list[bytes] = []
-    for w in [*words, b"." * (SHORT + 1)]:
-        if len(w) <= SHORT:
-            run.append(w)
-            continue
-        if len(run) >= RUN:
-            units.add(b"".join(run))
-        run = []
+    # Places of longer words: what lies between two of them is a run of short ones.
+    at = -1
+    for end in [*[i for i, w in enumerate(words) if len(w) > SHORT], len(words)]:
+        if end - at > RUN:
+            units.add(b"".join(words[at + 1 : end]))
+        at = end
     step = LONGEST_UNIT // 2
     for w in [w for w in units if len(w) > LONGEST_UNIT]:
         units.discard(w)
