@@ -55,32 +55,33 @@ DROPPED = bytes(b for b in range(256) if b not in KEPT_BYTES)
 HIDING = b"*#@$_%"
 HIDDEN = bytes(b if b in KEPT_BYTES else string_kernel.MASK for b in range(256))
 AT_ENDS = bytes(b for b in DROPPED if b not in HIDING)
+SINGLE = {bytes([b]) for b in range(256)}
 
 
 def units_of(text: str | None) -> set[bytes]:
     """Units of the whole text; long ones as overlapping stretches."""
     whole = (text or "").lower().encode()
     words = whole.translate(None, DROPPED).split()
-    units = {w for w in set(words) if len(w) >= 2}
-    for w in set(whole.split()):
-        # A word of letters alone, as most are, stays as it is.
-        if w.isalpha():
-            continue
+    units = set(words)
+    # A word that nothing was dropped from, as most are, hides no letter.
+    signed = set(whole.split()) - units
+    units -= SINGLE
+    for w in signed:
         w = w.strip(AT_ENDS)
         if not w.isalpha():
             w = w.translate(HIDDEN)
             if string_kernel.MASK in w and len(w) >= 3 and w.count(string_kernel.MASK) < len(w) - 1:
                 units.add(w)
     # Places of longer words: what lies between two of them is a run of short ones.
-    at = -1
-    for end in [*[i for i, w in enumerate(words) if len(w) > SHORT], len(words)]:
-        if end - at > RUN:
-            units.add(b"".join(words[at + 1 : end]))
-        at = end
+    lengths = np.fromiter(map(len, words), np.int64, len(words))
+    ends = np.concatenate([[-1], np.flatnonzero(lengths > SHORT), [len(words)]])
+    for i in np.flatnonzero(np.diff(ends) > RUN).tolist():
+        units.add(b"".join(words[ends[i] + 1 : ends[i + 1]]))
     step = LONGEST_UNIT // 2
-    for w in [w for w in units if len(w) > LONGEST_UNIT]:
-        units.discard(w)
-        units.update(w[i : i + LONGEST_UNIT] for i in range(0, len(w) - step, step))
+    if max(map(len, units), default=0) > LONGEST_UNIT:
+        for w in [w for w in units if len(w) > LONGEST_UNIT]:
+            units.discard(w)
+            units.update(w[i : i + LONGEST_UNIT] for i in range(0, len(w) - step, step))
     return units
 
 
@@ -117,7 +118,7 @@ class UnitMemory:
         self.rows = np.zeros((0, 2 * len(self.landmarks.landmarks)), np.float32)
 
     def learn(self, units: set[bytes]) -> None:
-        fresh = [u for u in units if u not in self.seen]
+        fresh = list(units - self.seen.keys())
         if len(self.seen) + len(fresh) > self.most:
             self.forget()
             fresh = list(units)
@@ -138,7 +139,7 @@ class UnitMemory:
             self.learn(set().union(*units))
             for i, own in enumerate(units, at):
                 if own and m:
-                    out[i, : 2 * m] = self.rows[[self.seen[u] for u in own]].max(axis=0)
+                    out[i, : 2 * m] = self.rows.take([*map(self.seen.__getitem__, own)], axis=0).max(axis=0)
         if m:
             out[:, -2] = out[:, :m].max(axis=1)
             out[:, -1] = out[:, m : 2 * m].max(axis=1)
