@@ -81,3 +81,17 @@ def test_stages_take_awkward_and_empty_tables(spark, small):
 def test_run_gives_the_mix(spark, small):
     got = corpus_pipeline.run(spark, small).collect()
     assert got and all(0 < r.taken <= 2 * r.size for r in got)
+
+
+def test_stages_hand_few_whole_texts_to_python_at_once(spark, small):
+    key = corpus_pipeline.BATCH_KEY
+    before = spark.conf.get(key)
+    docs = table(spark, small, "documents")
+    try:
+        for set_to, want in [("10000", "1000"), ("0", "1000"), ("300", "300")]:
+            for _, stage in corpus_pipeline.STAGES:
+                spark.conf.set(key, set_to)
+                stage(spark, docs.limit(0), small)
+                assert spark.conf.get(key) == want
+    finally:
+        spark.conf.set(key, before)
