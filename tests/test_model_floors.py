@@ -41,3 +41,32 @@ def test_full_search_reports_every_point(spark, small):
     assert len(rows) == 24 and sum(r.is_best for r in rows) == 1
     best = next(r for r in rows if r.is_best)
     assert best.mean_metric == max(r.mean_metric for r in rows)
+
+
+@pytest.mark.parametrize("name", ["dtree_regress", "gbt_regress", "rf_regress"])
+def test_fits_on_lines_do_not_follow_the_order_of_arrival(spark, small, tmp_path, name):
+    """Lines of an order share numbers, so the key alone does not order them."""
+    lines = spark.read.parquet(f"{small}/lineitem.parquet")
+    assert lines.select("l_orderkey", "l_linenumber").distinct().count() < lines.count()
+    lines.coalesce(1).orderBy("l_extendedprice").write.parquet(f"{tmp_path}/up/lineitem.parquet")
+    lines.coalesce(1).orderBy("l_extendedprice", ascending=False).write.parquet(f"{tmp_path}/down/lineitem.parquet")
+    for order in ("up", "down"):
+        spark.read.parquet(f"{small}/part.parquet").write.parquet(f"{tmp_path}/{order}/part.parquet")
+    found = [
+        {(r.split, r.n_rows, r.metric): r.value for r in QUERIES[name](spark, f"{tmp_path}/{order}").collect()}
+        for order in ("up", "down")
+    ]
+    assert found[0] == pytest.approx(found[1], rel=1e-9)
+
+
+def test_lines_are_counted_without_their_join(spark, small, monkeypatch):
+    plans = []
+    kind = type(spark.range(1))
+    count = kind.count
+    monkeypatch.setattr(
+        kind, "count", lambda df: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or count(df)
+    )
+    rows = QUERIES["dtree_regress"](spark, small).collect()
+    assert plans and not any("Join" in plan for plan in plans)
+    sizes = {r.split: r.n_rows for r in rows}
+    assert sum(sizes.values()) == spark.read.parquet(f"{small}/lineitem.parquet").count()
