@@ -44,6 +44,23 @@ def test_shared_work_gives_the_metrics_of_a_fit_for_each_point_and_fold(curved,
     assert name != "linear_regress" or [n for n in sizes if n > 10] == [900]
 
 
+@pytest.mark.parametrize("metric", ["rmse", "mae"])
+def test_leaves_get_their_values_without_moving_rows(curved, monkeypatch, metric):
+    """The rows of a fold meet the leaves' values as arrays: no join, and one pass where the metric is a mean."""
+    estimator, evaluator, axes = estimators.make("dtree_regress"), RegressionEvaluator(metricName=metric), GRIDS["dtree_regress"]
+    folded = assign_folds(curved, ["id"], FOLDS, 12345)
+    with kept(folded, spread_by=["id"]) as stored:
+        maps = tuning.param_maps(estimator, axes)
+        want = tuning._plain_metrics(stored, estimator, evaluator, maps, FOLDS, 4)
+        passes, evaluate = [], RegressionEvaluator._evaluate
+        monkeypatch.setattr(RegressionEvaluator, "_evaluate", lambda self, df: passes.append(df) or evaluate(self, df))
+        found = tuning._nested_metrics(stored, estimator, evaluator, maps, FOLDS, 4)
+    assert found.ravel().tolist() == pytest.approx(want.ravel().tolist(), rel=1e-8)
+    assert len(passes) == (0 if metric == "rmse" else 2 * 3 * FOLDS)
+    plans = [df._jdf.queryExecution().optimizedPlan().toString() for df in passes]
+    assert not any("Join" in plan for plan in plans)
+
+
 def test_a_fold_without_rows_is_an_error(curved):
     with pytest.raises(ValueError, match="folds have rows"):
         tuning.cross_validate(curved.limit(2), ["id"], estimators.make("linear_regress"), RegressionEvaluator(), GRIDS["linear_regress"], 5)
